@@ -78,4 +78,9 @@ def size_in_bytes(number: Column, unit: Column) -> Column:
 
 
 def whole_seconds(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    """Seconds between two zone-free times, as bigint.
+
+    Plain subtraction: ``timestampdiff`` would go through the session zone and
+    lose or gain an hour where its clocks change.
+    """
+    return (end - start).cast("interval second").cast("bigint")

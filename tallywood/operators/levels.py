@@ -90,18 +90,24 @@ def sample_lines(
 
     With a seed the draw is repeatable whatever the partitioning: lines are
     ordered by a hash of seed, ``keys`` and text.  ``seed=None`` draws anew on
-    every run.  Each task keeps only its own ``rows`` best lines.
+    every run.  Each task keeps only its own ``rows`` best lines: no sort of
+    the logs, as long as nothing but a plain projection follows the limit.
     """
     if seed is None:
-        order = F.rand()
+        draw = F.rand()
     else:
         parts = [F.col(k).cast("string") for k in keys]
-        order = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts, F.col("value")))
+        draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts, F.col("value")))
     return (
         lines.where(F.col("value").rlike(P.LEVEL))
-        .orderBy(order)
+        # A column of its own: an ordering expression runs at every comparison.
+        .select("value", draw.alias("draw"))
+        .orderBy("draw")
         .limit(rows)
-        .select(F.col("value").alias("log_entry"), line_level(F.col("value")).alias("log_level"))
+        .select(
+            F.col("value").alias("log_entry"),
+            F.regexp_extract("value", P.LEVEL, 1).alias("log_level"),
+        )
     )
 
 

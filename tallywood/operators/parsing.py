@@ -6,7 +6,7 @@ query: a level count runs one pattern per line, not eight.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import patterns as P
@@ -33,10 +33,27 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_path_ids(files: DataFrame) -> DataFrame:
-    """Rows whose path names an application, with the path's ids attached."""
-    return files.withColumns(path_ids(F.col("file_path"))).where(
-        F.col("application_id").isNotNull()
+def group_named_files(files: DataFrame, keys: list[str], **metrics: Column) -> DataFrame:
+    """Group per-file rows by path ids, leaving out files of no application.
+
+    Ids are never NULL here and the files with an application id are counted
+    after grouping.  A filter on the id, or one that a later join infers from a
+    nullable id, would be pushed below the per-file roll-up and run a path
+    pattern for every log line instead of once per file.
+    """
+    ids = {
+        name: F.coalesce(column, F.lit("" if name != "is_app_master" else False))
+        for name, column in path_ids(F.col("file_path")).items()
+    }
+    return (
+        files.withColumns(ids)
+        .groupBy(*keys)
+        .agg(
+            F.count_if(F.col("application_id") != "").alias("named_files"),
+            *[metric.alias(name) for name, metric in metrics.items()],
+        )
+        .where(F.col("named_files") > 0)
+        .drop("named_files")
     )
 
 

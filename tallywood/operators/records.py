@@ -9,14 +9,15 @@ from tallywood.functions.text import starts_with_stamp
 
 
 def assign_records(lines: DataFrame) -> DataFrame:
-    """``lines`` plus ``record``: the position of the stamped line each belongs to.
-
-    ``lines`` has ``file_path, block, pos, value``: ``pos`` orders the lines of
-    a file and ``block`` cuts that order into pieces of limited size, as the
-    scan does.  A line's record is the last stamped position at or above it:
-    found inside its block or, failing that, carried in from earlier blocks,
-    of which there is one row each.  No task ever has to hold a whole file.
-    Lines above a file's first stamp have no record (NULL).
+    """``lines`` plus ``record``: the ``pos`` of the stamped line each belongs to.
+
+    ``lines`` has ``file_path, block, pos, value``: ``block`` cuts a file into
+    ordered pieces of limited size, as a scan does, and ``pos`` (bigint, unique
+    within the file) orders the lines of a block.  A line's record is the last
+    stamped line at or above it: found inside its block or, failing that,
+    carried in from earlier blocks, of which there is one row each.  No task
+    ever has to hold a whole file.  Lines above a file's first stamp have no
+    record (NULL).
     """
     stamped = lines.withColumn("head", F.when(starts_with_stamp(F.col("value")), F.col("pos")))
     earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(
@@ -25,7 +26,9 @@ def assign_records(lines: DataFrame) -> DataFrame:
     carried = (
         stamped.groupBy("file_path", "block")
         .agg(F.max("head").alias("last_head"))
-        .select("file_path", "block", F.max("last_head").over(earlier).alias("carried"))
+        .select(
+            "file_path", "block", F.last("last_head", ignorenulls=True).over(earlier).alias("carried")
+        )
     )
     so_far = Window.partitionBy("file_path", "block").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -48,7 +51,7 @@ def multiline_records(lines: DataFrame) -> DataFrame:
     return (
         assign_records(lines)
         .groupBy("file_path", "record", alone.alias("alone"))
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("parts"))
+        .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
         .select(
             "file_path",
             F.coalesce("record", "alone").alias("record"),

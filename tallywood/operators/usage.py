@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions.text import id_time
-from tallywood.operators.parsing import profile_files, with_path_ids
+from tallywood.operators.parsing import group_named_files, profile_files
 
 
 def app_timeline(lines: DataFrame) -> DataFrame:
@@ -21,9 +21,12 @@ def app_timeline(lines: DataFrame) -> DataFrame:
 def timeline_of_files(files: DataFrame) -> DataFrame:
     """:func:`app_timeline` from a (stored) per-file roll-up."""
     return (
-        with_path_ids(files)
-        .groupBy("application_id", "cluster_id", "app_number")
-        .agg(F.min("first_time").alias("app_start"), F.max("last_time").alias("app_end"))
+        group_named_files(
+            files,
+            ["application_id", "cluster_id", "app_number"],
+            app_start=F.min("first_time"),
+            app_end=F.max("last_time"),
+        )
         .where(F.col("app_start").isNotNull() & F.col("app_end").isNotNull())
         .orderBy("app_start", "application_id")
     )
@@ -110,27 +113,22 @@ def cluster_start(timeline: DataFrame) -> DataFrame:
 
 def container_roles(lines: DataFrame) -> DataFrame:
     """Lines and containers per application, split into master and executors."""
-    master = F.col("is_app_master")
-    return (
-        with_path_ids(profile_files(lines))
-        .groupBy("application_id")
-        .agg(
-            F.sum("num_lines").alias("num_lines"),
-            F.count_distinct("container_id").alias("num_containers"),
-            F.sum(F.when(master, F.col("num_lines")).otherwise(0)).alias("master_lines"),
-            F.sum(F.when(~master, F.col("num_lines")).otherwise(0)).alias("executor_lines"),
-        )
+    master, count = F.col("is_app_master"), F.col("num_lines")
+    return group_named_files(
+        profile_files(lines),
+        ["application_id"],
+        num_lines=F.sum(count),
+        num_containers=F.count_distinct("container_id"),
+        master_lines=F.sum(F.when(master, count).otherwise(0)),
+        executor_lines=F.sum(F.when(~master, count).otherwise(0)),
     )
 
 
 def error_rates(lines: DataFrame, by: str = "application_id") -> DataFrame:
     """Lines, error lines and their share per application (or ``container_id``)."""
-    return (
-        with_path_ids(profile_files(lines))
-        .groupBy(by)
-        .agg(
-            F.sum("num_lines").alias("num_lines"),
-            F.sum("error_lines").alias("error_lines"),
-        )
-        .withColumn("error_share", F.col("error_lines") / F.col("num_lines"))
-    )
+    return group_named_files(
+        profile_files(lines),
+        [by],
+        num_lines=F.sum("num_lines"),
+        error_lines=F.sum("error_lines"),
+    ).withColumn("error_share", F.col("error_lines") / F.col("num_lines"))

@@ -8,123 +8,71 @@ shuffle, and the number of lines is the number of events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIRST_CLUSTER = 1485248649253
-CLUSTERS = 6
-
-
-def log_lines_from_events(events: DataFrame) -> DataFrame:
-    """``event_id, value, file_path``, one line per event."""
-    return events.select(
-        "event_id",
-        _line().alias("value"),
-        _path().alias("file_path"),
-    )
-
+# Six clusters, fifteen or more applications, four containers each; container
+# 000001 is the application master.
+_RUN = """
+  concat(1485248649253 + user_id % 6, '_', lpad(cast(user_id AS string), 4, '0'))
+"""
 
-def _path() -> Column:
-    user, event = F.col("user_id"), F.col("event_id")
-    run = F.concat(
-        (F.lit(FIRST_CLUSTER) + user % CLUSTERS).cast("string"),
-        F.lit("_"),
-        F.lpad(user.cast("string"), 4, "0"),
-    )
-    container = F.lpad((event % 4 + 1).cast("string"), 6, "0")
-    return F.concat(
-        F.lit("file:/logs/application_"), run,
-        F.lit("/container_"), run, F.lit("_01_"), container, F.lit(".log"),
-    )
+_PATH = """
+  concat('file:/logs/application_', run, '/container_', run, '_01_',
+         lpad(cast(event_id % 4 + 1 AS string), 6, '0'), '.log')
+"""
 
+# A cast gives a zone-free time's digits whatever the session zone.
+_STAMP = "replace(substring(cast(ts AS string), 3, 17), '-', '/')"
 
-def _line() -> Column:
-    kind, event, user = F.col("event_type"), F.col("event_id"), F.col("user_id")
+_LINE = f"""
+  CASE event_type
+    WHEN 'signup' THEN concat('    env CONTINUED ', user_id)
+    WHEN 'error' THEN concat(
+      {_STAMP}, ' ERROR executor.Executor: Exception in task ', event_id % 7, '.0 in stage ',
+      event_id % 5, '.0 (TID ', event_id div 2, ') after INFO')
+    WHEN 'click' THEN concat(
+      {_STAMP}, ' INFO executor.Executor: ', if(event_id % 2 = 0, 'Running', 'Finished'),
+      ' task ', event_id % 7, '.0 in stage ', event_id % 5, '.0 (TID ', user_id div 2, ')',
+      if(event_id % 2 = 0, '',
+         concat('. ', event_id % 3000, ' bytes result sent to driver')))
+    WHEN 'view' THEN CASE
+      WHEN event_id % 4 = 0 THEN concat(
+        {_STAMP}, ' INFO python.PythonRunner: Times: total = ', event_id % 900 + 100,
+        ', boot = ', event_id % 50 - 5, ', init = ', event_id % 30,
+        ', finish = ', event_id % 900 + 20)
+      WHEN event_id % 4 = 1 THEN concat(
+        {_STAMP}, ' INFO rdd.HadoopRDD: Input split: hdfs://10.0.0.1:9000/in/file',
+        event_id % 9, '.txt:', event_id * 1000, '+', event_id % 777 + 1)
+      WHEN event_id % 20 = 2 THEN concat(
+        {_STAMP}, ' INFO storage.MemoryStore: MemoryStore started with capacity ',
+        event_id % 12 + 1, '.5 GB')
+      WHEN event_id % 4 = 2 THEN concat(
+        {_STAMP}, ' INFO storage.MemoryStore: Block rdd_', event_id % 40, '_', event_id % 8,
+        ' stored as bytes in memory (estimated size ', event_id % 90 + 1, '.5 ',
+        if(event_id % 3 = 0, 'KB', 'MB'), ', free ', event_id % 12 + 1, '.0 GB)')
+      ELSE concat(
+        {_STAMP}, ' DEBUG broadcast.TorrentBroadcast: Started reading broadcast variable ',
+        event_id % 25)
+      END
+    WHEN 'purchase' THEN CASE
+      WHEN event_id % 2 = 0 THEN concat(
+        {_STAMP}, ' WARN YarnAllocator: Will request ', event_id % 16 + 1,
+        ' executor containers, each with ', event_id % 5 + 1, ' cores and ',
+        (event_id % 4 + 1) * 1024, ' MB memory including ',
+        (event_id % 4 + 1) * 128, ' MB overhead')
+      ELSE concat(
+        {_STAMP}, ' INFO YarnAllocator: Container request (host: ',
+        if(event_id % 3 = 0, 'Any', concat('mesos-slave-', event_id % 11)),
+        ', capability: <memory:', (event_id % 4 + 1) * 1024, ', vCores:',
+        event_id % 5 + 1, '>)')
+      END
+  END
+"""
 
-    def text(*parts: str | Column) -> Column:
-        return F.concat(
-            *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
-        )
 
-    # The cast's text form is free of the session zone.
-    stamp = F.replace(F.substring(F.col("ts").cast("string"), 3, 17), F.lit("-"), F.lit("/"))
-    task = text(" task ", event % 7, ".0 in stage ", event % 5, ".0 (TID ")
-    user_half, event_half = F.floor(user / 2), F.floor(event / 2)
-    error = text(
-        " ERROR executor.Executor: Exception in", task, event_half, ") after INFO"
-    )
-    click = (
-        F.when(event % 2 == 0, text(" INFO executor.Executor: Running", task, user_half, ")"))
-        .otherwise(
-            text(
-                " INFO executor.Executor: Finished", task, user_half, "). ",
-                event % 3000, " bytes result sent to driver",
-            )
-        )
-    )
-    view = (
-        F.when(
-            event % 4 == 0,
-            text(
-                " INFO python.PythonRunner: Times: total = ", event % 900 + 100,
-                ", boot = ", event % 50 - 5, ", init = ", event % 30,
-                ", finish = ", event % 900 + 20,
-            ),
-        )
-        .when(
-            event % 4 == 1,
-            text(
-                " INFO rdd.HadoopRDD: Input split: hdfs://10.0.0.1:9000/in/file", event % 9,
-                ".txt:", event * 1000, "+", event % 777 + 1,
-            ),
-        )
-        .when(
-            event % 20 == 2,
-            text(
-                " INFO storage.MemoryStore: MemoryStore started with capacity ",
-                event % 12 + 1, ".5 GB",
-            ),
-        )
-        .when(
-            event % 4 == 2,
-            text(
-                " INFO storage.MemoryStore: Block rdd_", event % 40, "_", event % 8,
-                " stored as bytes in memory (estimated size ", event % 90 + 1, ".5 ",
-                F.when(event % 3 == 0, F.lit("KB")).otherwise(F.lit("MB")),
-                ", free ", event % 12 + 1, ".0 GB)",
-            ),
-        )
-        .otherwise(
-            text(
-                " DEBUG broadcast.TorrentBroadcast: Started reading broadcast variable ",
-                event % 25,
-            )
-        )
-    )
-    purchase = (
-        F.when(
-            event % 2 == 0,
-            text(
-                " WARN YarnAllocator: Will request ", event % 16 + 1,
-                " executor containers, each with ", event % 5 + 1, " cores and ",
-                (event % 4 + 1) * 1024, " MB memory including ", (event % 4 + 1) * 128,
-                " MB overhead",
-            ),
-        )
-        .otherwise(
-            text(
-                " INFO YarnAllocator: Container request (host: ",
-                F.when(event % 3 == 0, F.lit("Any")).otherwise(text("mesos-slave-", event % 11)),
-                ", capability: <memory:", (event % 4 + 1) * 1024, ", vCores:", event % 5 + 1, ">)",
-            )
-        )
-    )
-    stamped = (
-        F.when(kind == "error", error)
-        .when(kind == "click", click)
-        .when(kind == "view", view)
-        .when(kind == "purchase", purchase)
-    )
-    return F.when(kind == "signup", text("    env CONTINUED ", user)).otherwise(
-        F.concat(stamp, stamped)
+def log_lines_from_events(events: DataFrame) -> DataFrame:
+    """``event_id, value, file_path``, one line per event."""
+    return events.withColumn("run", F.expr(_RUN)).select(
+        "event_id", F.expr(_LINE).alias("value"), F.expr(_PATH).alias("file_path")
     )

@@ -19,16 +19,14 @@ def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_positioned_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``value, file_path, block, pos``: lines with their order inside the file.
 
-    ``block`` is the byte offset at which the scan's piece of the file starts
-    and ``pos`` pairs it with a row id that grows with the lines of that piece.
-    The row id is taken directly at the scan: below any shuffle or filter.
+    ``block`` is the byte offset at which the scan's piece of the file starts.
+    ``pos`` is a row id that no other line shares and that grows with the lines
+    of one block.  It is taken directly at the scan, below any shuffle or
+    filter, where a task reads its piece from front to back.
     """
     return spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("pos"),
+        F.monotonically_increasing_id().alias("pos"),
     )

@@ -39,7 +39,7 @@ def duck():
 def cell(value):
     assert not isinstance(value, Decimal)
     if isinstance(value, float):
-        return format(value, ".12g")
+        return repr(value)
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return str(value)
