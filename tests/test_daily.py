@@ -1,0 +1,115 @@
+import datetime as dt
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywood.operators import daily
+from tests.logs import rows
+
+SCHEMA = (
+    "tpep_pickup_datetime timestamp_ntz, trip_distance double, mta_tax double,"
+    " fare_amount double, tip_amount double, passenger_count double, vendor string"
+)
+
+
+@pytest.fixture(scope="module")
+def trips():
+    pick = random.Random(5)
+    first = dt.datetime(2021, 3, 1)
+    made = [
+        (
+            first + dt.timedelta(minutes=pick.randrange(60 * 24 * 4)),
+            round(pick.random() * 20, 2), 0.5, round(pick.random() * 80, 2),
+            round(pick.random() * 9, 2), float(pick.randrange(1, 6)), "x",
+        )
+        for _ in range(900)
+    ]
+    return made + [
+        (dt.datetime(2020, 12, 31, 23, 59, 59), 1.0, 1.0, 1.0, 1.0, 1.0, "before"),
+        (dt.datetime(2021, 1, 1), 2.0, 0.5, 3.0, 0.0, 1.0, "first"),
+        (dt.datetime(2021, 12, 31, 23, 59, 59), 2.0, 0.5, 3.0, 0.0, 2.0, "last"),
+        (dt.datetime(2022, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0, "after"),
+        (None, 1.0, 1.0, 1.0, 1.0, 1.0, "never"),
+        (dt.datetime(2021, 6, 1), None, None, None, None, None, "empty"),
+    ]
+
+
+@pytest.fixture
+def table(spark, trips):
+    return spark.createDataFrame(trips, SCHEMA)
+
+
+def by_hand(trips):
+    days = {}
+    for t in trips:
+        if t[0] and t[0].year == 2021:
+            days.setdefault(t[0].date(), []).append(t)
+    result = []
+    for day, group in sorted(days.items(), reverse=True):
+        def known(i):
+            return sorted(t[i] for t in group if t[i] is not None)
+
+        def mean(i):
+            return sum(known(i)) / len(known(i)) if known(i) else None
+
+        fares, riders = known(3), mean(5)
+        result.append(
+            (
+                day.year, day.month, day.day, len(group), mean(1),
+                max(known(2), default=None),
+                fares[math.ceil(0.95 * len(fares)) - 1] if fares else None,
+                min(known(4), default=None),
+                None if riders is None else math.ceil(riders),
+            )
+        )
+    return result
+
+
+def test_daily_summary(table, trips):
+    got, want = rows(daily.daily_summary(table, 2021)), by_hand(trips)
+    assert [r[:4] + r[5:] for r in got] == [r[:4] + r[5:] for r in want]
+    assert [r[4] for r in got] == pytest.approx([r[4] for r in want], nan_ok=True)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_year_range_for_every_time_type(table, kind):
+    column = F.col("tpep_pickup_datetime").cast(kind)
+    trips = table.withColumn("tpep_pickup_datetime", column)
+    kept = trips.where(daily.in_year(trips, "tpep_pickup_datetime", 2021))
+    by_function = trips.where(F.year("tpep_pickup_datetime") == 2021)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, by_function.collect()))
+    assert kept.where("vendor IN ('first', 'last')").count() == 2
+
+
+def test_rollup_takes_real_dates(table):
+    summary = daily.daily_summary(table, 2021)
+    (got,) = rows(daily.daily_rollup(summary))
+    assert got == (7, 903, 903 / 7, dt.date(2021, 1, 1), dt.date(2021, 12, 31))
+
+
+def test_rollup_of_nothing(table):
+    summary = daily.daily_summary(table, 1999)
+    assert rows(daily.daily_rollup(summary)) == [(0, 0, None, None, None)]
+
+
+def test_top_days(table):
+    got = rows(daily.top_days(daily.daily_summary(table, 2021), 2))
+    assert [r[:3] for r in got] == [(2021, 12, 31), (2021, 6, 1)]
+
+
+def test_trip_totals(table):
+    assert rows(daily.trip_totals(table, 2021)) == [(906, 903, 7)]
+
+
+def test_percentile_error_stays_in_its_bound(spark):
+    """One day holds all trips, more than the sketch keeps exactly."""
+    trips = spark.range(200_000).repartition(16).selectExpr(
+        "timestamp_ntz'2021-05-05 12:00:00' AS tpep_pickup_datetime",
+        "1D AS trip_distance", "1D AS mta_tax", "cast(id AS double) AS fare_amount",
+        "1D AS tip_amount", "1D AS passenger_count",
+    )
+    (got,) = rows(daily.daily_summary(trips, 2021))
+    assert got[3] == 200_000
+    assert abs(got[6] - 0.95 * 200_000) <= 200_000 / 10_000
