@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
