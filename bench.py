@@ -1,17 +1,20 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the local threads.
-Every query runs once to warm up and is then timed to its last row.
+Every query runs once to warm up and is then timed to its last row.  Three log
+queries are also timed on plain text, ``TEXT_COPIES`` lines per event written
+to a folder of its own, since the published baseline counts text lines.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import time
+import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow.parquet as pq
 
+from bench_text import local_session, text_queries, timed, write_lines
 from tallywood.plans.checked import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -46,24 +49,25 @@ HEADLINE = (
 )
 
 
+TEXT_QUERIES = ("level_counts", "app_timeline", "file_profile")
+TEXT_COPIES = 50
+
+
 def main() -> None:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("tallywood-bench")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = local_session(CPUS, CPUS)
     seconds = {}
     for name in HEADLINE:
         for _ in range(2):
-            start = time.perf_counter()
-            QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-            seconds[name] = round(time.perf_counter() - start, 3)
-    spark.stop()
+            seconds[name] = timed(lambda: QUERIES[name](spark, SF_DIR))
+    with tempfile.TemporaryDirectory(prefix="tallywood-bench-") as scratch:
+        folder = f"{scratch}/logs"
+        write_lines(spark, SF_DIR, folder, TEXT_COPIES)
+        text = text_queries(spark, folder)
+        for name in TEXT_QUERIES:
+            for _ in range(2):
+                seconds[f"text_{name}"] = timed(text[name])
+        spark.stop()
+    lines = TEXT_COPIES * table_rows("events")
     print(
         json.dumps(
             {
@@ -72,10 +76,18 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+                "text_lines": lines,
+                "text_lines_per_second": {
+                    name: round(lines / seconds[f"text_{name}"]) for name in TEXT_QUERIES
+                },
             }
         )
     )
 
 
+def table_rows(name: str) -> int:
+    return pq.ParquetFile(f"{SF_DIR}/{name}.parquet").metadata.num_rows
+
+
 if __name__ == "__main__":
     main()

@@ -4,8 +4,8 @@
 
 FOLDER is filled once with ``application=...`` folders of log lines spelled out
 from the ``events`` table, each event COPIES times; a later run with the same
-FOLDER only reads.  Prints one JSON line: seconds and lines per second for
-each query, read from the files every time.
+FOLDER only reads.  Prints one JSON line: seconds and lines per second of each
+query.  Every query reads all files; nothing is cached between them.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ import json
 import os
 import sys
 import time
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.functions import patterns as P
@@ -25,17 +26,18 @@ from tallywood.operators.parsing import profile_files
 from tallywood.sources.event_log import log_lines_from_events
 from tallywood.sources.log_files import read_log_lines, read_positioned_log_lines
 
-SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.01")
-CPUS = os.environ.get("BENCH_CPUS", "8")
 
-
-def write_lines(spark: SparkSession, folder: str, copies: int) -> None:
-    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    copied = events.withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-    ).withColumn("ts", F.timestamp_add("SECOND", F.col("copy"), F.col("ts")))
+def write_lines(spark: SparkSession, sf_dir: str, folder: str, copies: int) -> None:
+    """``copies`` log lines per event, one second apart, as text by application."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    copied = (
+        spark.read.parquet(f"{sf_dir}/events.parquet")
+        .repartition(tasks)
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        .withColumn("ts", F.timestamp_add("SECOND", F.col("copy"), F.col("ts")))
+    )
     (
-        log_lines_from_events(copied.repartition(int(CPUS) * 4))
+        log_lines_from_events(copied)
         .select("value", matched(F.col("file_path"), P.APPLICATION_ID).alias("application"))
         .hint("rebalance", "application")
         .write.partitionBy("application")
@@ -43,29 +45,15 @@ def write_lines(spark: SparkSession, folder: str, copies: int) -> None:
     )
 
 
-def main() -> None:
-    folder = sys.argv[1]
-    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 100
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .config("spark.driver.memory", "16g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "32")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    if not os.path.exists(f"{folder}/_SUCCESS"):
-        write_lines(spark, folder, copies)
+def text_queries(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
     path = f"{folder}/application=*"
     lines = read_log_lines(spark, path)
-    count = lines.count()
-    queries = {
+    return {
         "level_counts": lambda: levels.level_counts(levels.tally_levels(lines)),
-        "file_profile": lambda: profile_files(lines),
         "app_timeline": lambda: usage.app_timeline(lines),
-        "error_rates": lambda: usage.error_rates(lines),
+        "file_profile": lambda: profile_files(lines),
         "log_sample": lambda: levels.sample_lines(lines),
+        "error_rates": lambda: usage.error_rates(lines),
         "component_counts": lambda: appstats.component_counts(lines),
         "requested_resources": lambda: appstats.requested_resources(lines),
         "app_task_times": lambda: appstats.app_task_times(appstats.task_times(lines)),
@@ -73,27 +61,56 @@ def main() -> None:
             read_positioned_log_lines(spark, path)
         ),
     }
+
+
+def timed(build: Callable[[], DataFrame]) -> float:
+    """Seconds to build a result and produce its last row."""
+    start = time.perf_counter()
+    build().write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 3)
+
+
+def local_session(cpus: str, partitions: str) -> SparkSession:
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("tallywood-bench")
+        .config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.driver.memory", "12g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def main() -> None:
+    folder = sys.argv[1]
+    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 100
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = local_session(cpus, "32")
+    if not os.path.exists(f"{folder}/_SUCCESS"):
+        write_lines(
+            spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.01"), folder, copies
+        )
+    queries = text_queries(spark, folder)
     wanted = os.environ.get("BENCH_QUERIES")
     if wanted:
         queries = {name: queries[name] for name in wanted.split(",")}
-    seconds = {}
-    for name, build in queries.items():
-        start = time.perf_counter()
-        build().write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 2)
-        print(name, seconds[name], file=sys.stderr)
+    count = read_log_lines(spark, f"{folder}/application=*").count()
+    seconds = {name: timed(build) for name, build in queries.items()}
+    spark.stop()
     print(
         json.dumps(
             {
                 "metric": "text log queries",
                 "lines": count,
-                "cpus": int(CPUS),
+                "cpus": int(cpus),
                 "seconds": seconds,
                 "lines_per_second": {n: round(count / s) for n, s in seconds.items()},
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
