@@ -8,54 +8,72 @@ from pyspark.sql import functions as F
 from tallywood.functions.text import starts_with_stamp
 
 
-def assign_records(lines: DataFrame) -> DataFrame:
-    """``lines`` plus ``record``: the ``pos`` of the stamped line each belongs to.
+def _placed(lines: DataFrame) -> DataFrame:
+    """``lines`` plus ``record`` and ``open``, as :func:`assign_records` says.
 
-    ``lines`` has ``file_path, block, pos, value``: ``block`` cuts a file into
-    ordered pieces of limited size, as a scan does, and ``pos`` (bigint, unique
-    within the file) orders the lines of a block.  A line's record is the last
-    stamped line at or above it: found inside its block or, failing that,
-    carried in from earlier blocks, of which there is one row each.  No task
-    ever has to hold a whole file.  Lines above a file's first stamp have no
-    record (NULL).
+    ``open`` marks lines whose record can reach into another block: those of a
+    block's last record, and those carried in from an earlier block.
     """
     stamped = lines.withColumn("head", F.when(starts_with_stamp(F.col("value")), F.col("pos")))
     earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = (
+    blocks = (
         stamped.groupBy("file_path", "block")
         .agg(F.max("head").alias("last_head"))
-        .select(
-            "file_path", "block", F.last("last_head", ignorenulls=True).over(earlier).alias("carried")
-        )
+        .withColumn("carried", F.last("last_head", ignorenulls=True).over(earlier))
     )
     so_far = Window.partitionBy("file_path", "block").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    own = F.col("own")
     return (
         stamped.withColumn("own", F.max("head").over(so_far))
-        .join(carried, ["file_path", "block"])
-        .withColumn("record", F.coalesce("own", "carried"))
-        .drop("head", "own", "carried")
+        .join(blocks, ["file_path", "block"])
+        .select(
+            *lines.columns,
+            F.coalesce(own, "carried").alias("record"),
+            F.coalesce(own == F.col("last_head"), F.col("carried").isNotNull()).alias("open"),
+        )
     )
 
 
+def assign_records(lines: DataFrame) -> DataFrame:
+    """``lines`` plus ``record``: the ``pos`` of the stamped line each belongs to.
+
+    ``lines`` has ``file_path, block, pos, value``: ``block`` cuts a file into
+    ordered pieces of limited size, as a scan does, and ``pos`` (bigint, unique
+    within the file) orders the lines of a block.  A line's record is the last
+    stamped line at or above it: found inside its block or, failing that,
+    carried in from earlier blocks, of which there is one row each.  No task
+    ever has to hold a whole file.  Lines above a file's first stamp have no
+    record (NULL).
+    """
+    return _placed(lines).drop("open")
+
+
 def multiline_records(lines: DataFrame) -> DataFrame:
     """``file_path, record, num_lines, text``: one row per record.
 
-    Lines without a record stay single rows: a file that never prints a stamp
-    is not glued into one text.
+    Text is shuffled once, by file and block, and records are put together
+    where their lines then are.  Only the last record of each block, and what
+    runs over into later ones, goes through a second, small shuffle.  Lines
+    without a record stay single rows: a file that never prints a stamp is not
+    glued into one text.
     """
-    alone = F.when(F.col("record").isNull(), F.col("pos"))
-    return (
-        assign_records(lines)
-        .groupBy("file_path", "record", alone.alias("alone"))
-        .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
-        .select(
-            "file_path",
-            F.coalesce("record", "alone").alias("record"),
-            F.size("parts").cast("bigint").alias("num_lines"),
-            F.array_join(F.col("parts.value"), "\n").alias("text"),
-        )
+    placed = _placed(lines)
+    parts = F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts")
+    alone = F.when(F.col("record").isNull(), F.col("pos")).alias("alone")
+    inside = (
+        placed.where(~F.col("open"))
+        .groupBy("file_path", "block", "record", alone)
+        .agg(parts)
+        .select("file_path", F.coalesce("record", "alone").alias("record"), "parts")
+    )
+    across = placed.where("open").groupBy("file_path", "record").agg(parts)
+    return inside.union(across).select(
+        "file_path",
+        "record",
+        F.size("parts").cast("bigint").alias("num_lines"),
+        F.array_join(F.col("parts.value"), "\n").alias("text"),
     )
