@@ -8,32 +8,77 @@ from pyspark.sql import functions as F
 from tallywood.functions.text import starts_with_stamp
 
 
-def _placed(lines: DataFrame) -> DataFrame:
-    """``lines`` plus ``record`` and ``open``, as :func:`assign_records` says.
+def _blocks(stamped: DataFrame) -> DataFrame:
+    """One row per file and block: which stamped line reaches where.
 
-    ``open`` marks lines whose record can reach into another block: those of a
-    block's last record, and those carried in from an earlier block.
+    ``last_head`` is the block's last stamped line and ``last_reach`` the number
+    of later blocks its record runs into; ``carried`` is the stamped line whose
+    record is still running when the block begins, ``carried_reach`` the same
+    for it.
     """
-    stamped = lines.withColumn("head", F.when(starts_with_stamp(F.col("value")), F.col("pos")))
-    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    blocks = (
+    forward = Window.partitionBy("file_path").orderBy("block")
+    backward = Window.partitionBy("file_path").orderBy(F.desc("block"))
+    before = forward.rowsBetween(Window.unboundedPreceding, -1)
+    after = backward.rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = Window.partitionBy("file_path")
+    number, has_head = F.col("number"), F.col("last_head").isNotNull()
+    # The last block that the record running up to this block's first stamp touches.
+    end = F.when(F.col("first_head") > F.col("first_pos"), number).otherwise(number - 1)
+    next_end = F.coalesce("next_end", "num_blocks")
+    return (
         stamped.groupBy("file_path", "block")
-        .agg(F.max("head").alias("last_head"))
-        .withColumn("carried", F.last("last_head", ignorenulls=True).over(earlier))
+        .agg(
+            F.min("pos").alias("first_pos"),
+            F.min("head").alias("first_head"),
+            F.max("head").alias("last_head"),
+        )
+        .withColumn("number", F.row_number().over(forward))
+        .withColumns({"headed": F.when(has_head, number), "end": F.when(has_head, end)})
+        .select(
+            "file_path",
+            "block",
+            "last_head",
+            "number",
+            "end",
+            F.last("last_head", ignorenulls=True).over(before).alias("carried"),
+            F.last("headed", ignorenulls=True).over(before).alias("carried_from"),
+            F.last("end", ignorenulls=True).over(after).alias("next_end"),
+            F.count("*").over(whole_file).alias("num_blocks"),
+        )
+        .select(
+            "file_path",
+            "block",
+            "last_head",
+            "carried",
+            (next_end - number).alias("last_reach"),
+            (F.coalesce("end", next_end) - F.col("carried_from")).alias("carried_reach"),
+        )
     )
+
+
+def _placed(lines: DataFrame, max_blocks: int = 1) -> DataFrame:
+    """``lines`` plus ``record``, ``open`` and ``part``.
+
+    ``open`` marks lines whose record can reach into another block: those of a
+    block's last record, and those carried in from an earlier block.  ``part``
+    is the line's block if its record reaches into more than ``max_blocks``
+    later ones, else NULL.
+    """
+    stamped = lines.withColumn("head", F.when(starts_with_stamp(F.col("value")), F.col("pos")))
     so_far = Window.partitionBy("file_path", "block").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    own = F.col("own")
+    own, carried = F.col("own"), F.col("carried")
+    is_last = own == F.col("last_head")
+    reach = F.when(own.isNull(), F.col("carried_reach")).when(is_last, F.col("last_reach"))
     return (
         stamped.withColumn("own", F.max("head").over(so_far))
-        .join(blocks, ["file_path", "block"])
+        .join(_blocks(stamped), ["file_path", "block"])
         .select(
             *lines.columns,
-            F.coalesce(own, "carried").alias("record"),
-            F.coalesce(own == F.col("last_head"), F.col("carried").isNotNull()).alias("open"),
+            F.coalesce(own, carried).alias("record"),
+            F.coalesce(is_last, carried.isNotNull()).alias("open"),
+            F.when(reach > max_blocks, F.col("block")).alias("part"),
         )
     )
 
@@ -49,31 +94,40 @@ def assign_records(lines: DataFrame) -> DataFrame:
     ever has to hold a whole file.  Lines above a file's first stamp have no
     record (NULL).
     """
-    return _placed(lines).drop("open")
+    return _placed(lines).drop("open", "part")
 
 
-def multiline_records(lines: DataFrame) -> DataFrame:
-    """``file_path, record, num_lines, text``: one row per record.
+def multiline_records(lines: DataFrame, max_blocks: int = 1) -> DataFrame:
+    """``file_path, record, part, num_lines, text``: one row per record.
 
     Text is shuffled once, by file and block, and records are put together
     where their lines then are.  Only the last record of each block, and what
-    runs over into later ones, goes through a second, small shuffle.  Lines
-    without a record stay single rows: a file that never prints a stamp is not
-    glued into one text.
+    runs over into later ones, goes through a second, small shuffle.
+
+    Two kinds of lines could make one text grow without bound.  A record that
+    reaches into more than ``max_blocks`` later blocks, and so fills at least
+    one of them, comes whole but in parts: a row per block, ``part`` (NULL for
+    all other records) in order.  Lines without a record stay single rows.
     """
-    placed = _placed(lines)
+    placed = _placed(lines, max_blocks)
     parts = F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts")
     alone = F.when(F.col("record").isNull(), F.col("pos")).alias("alone")
     inside = (
         placed.where(~F.col("open"))
         .groupBy("file_path", "block", "record", alone)
         .agg(parts)
-        .select("file_path", F.coalesce("record", "alone").alias("record"), "parts")
+        .select(
+            "file_path",
+            F.coalesce("record", "alone").alias("record"),
+            F.lit(None).cast("bigint").alias("part"),
+            "parts",
+        )
     )
-    across = placed.where("open").groupBy("file_path", "record").agg(parts)
+    across = placed.where("open").groupBy("file_path", "record", "part").agg(parts)
     return inside.union(across).select(
         "file_path",
         "record",
+        "part",
         F.size("parts").cast("bigint").alias("num_lines"),
         F.array_join(F.col("parts.value"), "\n").alias("text"),
     )

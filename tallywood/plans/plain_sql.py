@@ -386,7 +386,8 @@ SELECT host, count(DISTINCT container_id) AS num_containers, count(*) AS num_men
 FROM (SELECT unnest(regexp_extract_all(value, 'mesos-slave-\w+')) AS host, container_id FROM parsed)
 GROUP BY host""",
     "multiline_records": _LOG + r"""
-SELECT file_path, coalesce(head, alone) AS record, count(*) AS num_lines,
+SELECT file_path, coalesce(head, alone) AS record, cast(NULL AS bigint) AS part,
+       count(*) AS num_lines,
        string_agg(value, chr(10) ORDER BY event_id) AS text
 FROM (
   SELECT *, CASE WHEN head IS NULL THEN event_id END AS alone FROM (

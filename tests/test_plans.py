@@ -166,9 +166,16 @@ def test_hosts_are_deduplicated_before_they_meet(lines):
 
 def test_records_are_split_by_block(spark, lines, tmp_path):
     positioned = read_positioned_log_lines(spark, f"{tmp_path}/application_*/*")
-    plan = physical(records.multiline_records(positioned))
+    df = records.multiline_records(positioned)
+    plan = physical(df)
     assert re.search(r"hashpartitioning\(file_path#\d+, block#\d+L", plan)
     assert "SortAggregate" not in plan
+    # Records inside a block are grouped without moving text again.
+    inside = plan[: plan.index("Exchange")]
+    assert "collect_list" in inside
+    final = ran(df)
+    assert final.count("FileScan text") == 2  # stamps per block, and the text
+    assert "ReusedExchange" in final
 
 
 def test_one_file_metadata_column_is_read(lines):

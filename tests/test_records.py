@@ -36,15 +36,44 @@ def test_records_whatever_the_blocks(spark, block_lines):
     lines = made_lines(11, block_lines)
     shuffled = lines[:]
     random.Random(1).shuffle(shuffled)
-    got = rows(multiline_records(spark.createDataFrame(shuffled, SCHEMA)))
-    assert sorted(got) == by_hand(lines)
+    got = rows(multiline_records(spark.createDataFrame(shuffled, SCHEMA), max_blocks=100))
+    assert all(r[2] is None for r in got)
+    assert sorted(r[:2] + r[3:] for r in got) == by_hand(lines)
 
 
-def test_a_record_can_span_many_blocks(spark):
-    lines = [("f", pos, pos, STAMP if pos == 2 else f"line {pos}") for pos in range(40)]
-    got = sorted(rows(multiline_records(spark.createDataFrame(lines, SCHEMA))))
-    assert [r[1:3] for r in got] == [(0, 1), (1, 1), (2, 38)]
-    assert got[2][3] == "\n".join(v for _, _, _, v in lines[2:])
+@pytest.mark.parametrize("block_lines, max_blocks", [(1, 1), (1, 2), (3, 1), (3, 0), (10, 1)])
+def test_long_records_come_whole_in_parts(spark, block_lines, max_blocks):
+    lines = made_lines(11, block_lines)
+    got = rows(multiline_records(spark.createDataFrame(lines, SCHEMA), max_blocks))
+    pieces = {}
+    for file, record, part, count, text in got:
+        pieces.setdefault((file, record), []).append((part, count, text))
+    block_of = {(file, pos): block for file, block, pos, _ in lines}
+    whole = by_hand(lines)
+    assert set(pieces) == {w[:2] for w in whole}
+    for file, record, count, text in whole:
+        # Lines above the first stamp are records of their own, of one line.
+        first, last = block_of[file, record], block_of[file, record + count - 1]
+        mine = sorted(pieces[file, record], key=lambda p: -1 if p[0] is None else p[0])
+        if last - first > max_blocks:
+            assert [p[0] for p in mine] == list(range(first, last + 1))
+        else:
+            assert [p[0] for p in mine] == [None]
+        assert sum(p[1] for p in mine) == count
+        assert "\n".join(p[2] for p in mine) == text
+
+
+def test_one_record_with_nearly_all_lines(spark):
+    """No row holds more than a block of it, and no line is lost."""
+    lines = spark.range(20_000).repartition(8).selectExpr(
+        "'f' AS file_path", "id div 1000 AS block", "id AS pos",
+        f"if(id = 10, '{STAMP}', concat('line ', id)) AS value",
+    )
+    got = sorted(rows(multiline_records(lines)), key=lambda r: (r[1], r[2] or 0))
+    assert [r[1:4] for r in got[:10]] == [(i, None, 1) for i in range(10)]
+    assert [r[1:4] for r in got[10:]] == [(10, b, 990 if b == 0 else 1000) for b in range(20)]
+    text = "\n".join(r[4] for r in got[10:])
+    assert text == "\n".join([STAMP] + [f"line {i}" for i in range(11, 20_000)])
 
 
 def test_lines_keep_their_columns(spark):
@@ -72,4 +101,5 @@ def test_records_of_files_read_in_many_pieces(spark, tmp_path):
         got = multiline_records(lines).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert all(r["part"] is None for r in got)
     assert sorted(r["text"] for r in got) == sorted(wanted)
