@@ -80,13 +80,13 @@ def log_totals(tally: DataFrame) -> DataFrame:
     )
 
 
-def sample_lines(
+def draw_lines(
     lines: DataFrame,
     rows: int = 10,
     seed: int | None = 42,
     keys: tuple[str, ...] = ("file_path",),
 ) -> DataFrame:
-    """``log_entry, log_level`` of ``rows`` lines drawn from those with a level.
+    """``draw, log_entry, log_level`` of ``rows`` lines drawn from those with a level.
 
     With a seed the draw is repeatable whatever the partitioning: lines are
     ordered by a hash of seed, ``keys`` and text.  ``seed=None`` draws anew on
@@ -94,7 +94,7 @@ def sample_lines(
     the logs, as long as nothing but a plain projection follows the limit.
     """
     if seed is None:
-        draw = F.rand()
+        draw = F.format_string("%.17f", F.rand())
     else:
         parts = [F.col(k).cast("string") for k in keys]
         draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts, F.col("value")))
@@ -105,12 +105,28 @@ def sample_lines(
         .orderBy("draw")
         .limit(rows)
         .select(
+            "draw",
             F.col("value").alias("log_entry"),
             F.regexp_extract("value", P.LEVEL, 1).alias("log_level"),
         )
     )
 
 
+def sample_lines(
+    lines: DataFrame,
+    rows: int = 10,
+    seed: int | None = 42,
+    keys: tuple[str, ...] = ("file_path",),
+) -> DataFrame:
+    """``log_entry, log_level`` of the lines :func:`draw_lines` draws."""
+    return draw_lines(lines, rows, seed, keys).drop("draw")
+
+
+def best_draws(draws: DataFrame, rows: int = 10) -> DataFrame:
+    """The sample of all logs from the stored draws of their parts."""
+    return draws.orderBy("draw").limit(rows).select("log_entry", "log_level")
+
+
 def level_report(tally: DataFrame) -> DataFrame:
     """``line_no, line`` of the level summary text."""
     ranked = F.array_sort(

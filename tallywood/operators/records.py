@@ -114,14 +114,10 @@ def multiline_records(lines: DataFrame, max_blocks: int = 1) -> DataFrame:
     alone = F.when(F.col("record").isNull(), F.col("pos")).alias("alone")
     inside = (
         placed.where(~F.col("open"))
-        .groupBy("file_path", "block", "record", alone)
+        # No such line has a part; asking for it lets both halves share their scans.
+        .groupBy("file_path", "block", "record", "part", alone)
         .agg(parts)
-        .select(
-            "file_path",
-            F.coalesce("record", "alone").alias("record"),
-            F.lit(None).cast("bigint").alias("part"),
-            "parts",
-        )
+        .select("file_path", F.coalesce("record", "alone").alias("record"), "part", "parts")
     )
     across = placed.where("open").groupBy("file_path", "record", "part").agg(parts)
     return inside.union(across).select(

@@ -15,15 +15,26 @@ from tallywood.sinks.files import write_report, write_table
 from tallywood.sources import results
 
 
-def write_log_reports(lines: DataFrame, out: str, sample_rows: int = 10, seed: int = 42) -> None:
-    """Level and usage results of a log table below ``out``.
+def store_logs(
+    lines: DataFrame, out: str, part: str = "all", sample_rows: int = 10, seed: int = 42
+) -> None:
+    """Reduce a log table to what the reports need and store it below ``out``.
 
     The logs are read twice: once for the per-file roll-up, from which all
-    counts and times follow, and once for the sample.
+    counts and times follow, and once for the sample.  Logs may come in parts
+    of whole files, such as one cluster or one day at a time: each part keeps
+    its own folder, storing it again replaces it, and the reports read them all.
     """
-    spark = lines.sparkSession
-    profile_files(lines).write.mode("overwrite").parquet(f"{out}/file_profile")
+    profile_files(lines).write.mode("overwrite").parquet(f"{out}/file_profile/part={part}")
+    levels.draw_lines(lines, sample_rows, seed).write.mode("overwrite").parquet(
+        f"{out}/draws/part={part}"
+    )
+
+
+def write_log_reports(spark: SparkSession, out: str, sample_rows: int = 10) -> None:
+    """Level and usage results below ``out`` from what :func:`store_logs` stored."""
     files = spark.read.parquet(f"{out}/file_profile")
+    draws = spark.read.parquet(f"{out}/draws")
 
     tally = levels.tally_of_files(files)
     write_table(
@@ -34,7 +45,7 @@ def write_log_reports(lines: DataFrame, out: str, sample_rows: int = 10, seed: i
     )
     write_report(levels.level_report(tally), f"{out}/level_report")
     write_table(
-        levels.sample_lines(lines, sample_rows, seed),
+        levels.best_draws(draws, sample_rows),
         f"{out}/level_sample",
         quote_all=True,
         single_file=True,

@@ -153,7 +153,8 @@ def test_report_keeps_its_order(spark, tmp_path):
 
 def test_log_reports(spark, logs, tmp_path):
     out = f"{tmp_path}/out"
-    jobs.write_log_reports(read_log_lines(spark, f"{logs}/application_*/*"), out, sample_rows=4)
+    jobs.store_logs(read_log_lines(spark, f"{logs}/application_*/*"), out, sample_rows=4)
+    jobs.write_log_reports(spark, out, sample_rows=4)
     assert texts(f"{out}/level_counts") == [["log_level,count", "INFO,6", "WARN,6"]]
     assert texts(f"{out}/level_report") == [
         [
@@ -189,9 +190,27 @@ def test_log_reports(spark, logs, tmp_path):
     assert charts["density_by_cluster"].count() == 200
 
 
+def test_reports_from_parts_are_reports_of_all(spark, logs, tmp_path):
+    whole, parts = f"{tmp_path}/whole", f"{tmp_path}/parts"
+    jobs.store_logs(read_log_lines(spark, f"{logs}/application_*/*"), whole, sample_rows=5)
+    for name, pattern in (
+        ("a", "application_20_*"), ("b", "application_10_*"), ("a", "application_20_*"),
+    ):
+        lines = read_log_lines(spark, f"{logs}/{pattern}/*")
+        jobs.store_logs(lines, parts, part=name, sample_rows=5)
+    for out in (whole, parts):
+        jobs.write_log_reports(spark, out, sample_rows=5)
+    for table in (
+        "level_counts", "level_report", "level_sample", "timeline", "cluster_summary",
+        "usage_report",
+    ):
+        assert texts(f"{whole}/{table}") == texts(f"{parts}/{table}"), table
+
+
 def test_log_reports_of_nothing(spark, tmp_path):
     nothing = spark.createDataFrame([], "value string, file_path string")
-    jobs.write_log_reports(nothing, f"{tmp_path}/out")
+    jobs.store_logs(nothing, f"{tmp_path}/out")
+    jobs.write_log_reports(spark, f"{tmp_path}/out")
     assert texts(f"{tmp_path}/out/usage_report")[0][2] == "Average applications per cluster: 0.00"
 
 
