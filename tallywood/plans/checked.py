@@ -184,6 +184,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "log_text_scan": log_text_scan,
     "parquet_multi_scan": _events_twice,
+    # Keeping the even ids is what this query does, over the whole table.
     "even_ids_doubled": lambda s, d: trip_files.even_ids_doubled(
         _table(s, d, "orders"), "o_orderkey"
     ),
