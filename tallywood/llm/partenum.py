@@ -28,6 +28,8 @@ from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
 SIZE, LEAST = 5, 75  # words of a shingle; similarity in percent
 FAMILIES, BLOCK_SHINGLES, SPARE = 6, 1_000_000, 0.08
 MARK_BITS = 25
+# Shingles in so many of so many sampled texts are common.
+SAMPLE, COMMON = 10_000, 5
 SEEDS = mix(np.arange(1, 64, dtype=U))
 
 
@@ -59,18 +61,24 @@ def bands(least: int, up_to: int) -> tuple[tuple[int, int], ...]:
 
 
 @lru_cache(maxsize=None)
-def shape_of(low: int, high: int, least: int) -> Shape | None:
+def shape_of(low: int, high: int, least: int, again: bool = False) -> Shape | None:
     """None if different sets of this instance never link.
 
     Few differences: one group, all choices that leave out so many ranges.
     Many: a range for each signature, and as many ranges as can differ, can be
     empty (of a set of the least size; ``spare``) and shall agree at least.
+    Sets that try ``again`` are full of common shingles: they get ranges of
+    half a shingle each, of which linked sets share very many, so that almost
+    half of the signatures, the commonest ones, can be left out.
     """
     most = differ(high, least)
     if most == 0:
         return None
     if most <= 3:
         return Shape(1, most + 4, 4, 0, 1)
+    if again:
+        spare = ceil(2 * low * exp(-0.5))
+        return Shape(2 * low, 1, 1, spare, 2 * low - most - spare)
     groups = most + 2
     while True:
         empty = groups * exp(-low / groups)
@@ -155,31 +163,43 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, shape: Shape, seed:
     return out_rows, mix(sums + mix(choice * SEEDS[55] + U(seed))), sparse
 
 
-def set_signatures(rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def set_signatures(
+    rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, least: int, common: np.ndarray
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``slot``, rows and signatures of sorted sets; a slot is a try of an instance.
 
     A set takes part in the instance of its own band and in those of smaller
-    sets it may link with.  Sets with too many empty groups try again with
-    another cut of the domain, in which they then are with all others that do.
+    sets it may link with.  The first try leaves out ``common`` shingles, which
+    never makes two sets differ more.  Sets with too many empty groups try
+    again with all their shingles and another cut of the domain, in which they
+    then are with all others that do.
     """
+    rare = ~is_in(hashes, common)
     cuts = bands(least, max(1, int(sizes.max(initial=1))))
     lows = np.array([b[0] for b in cuts])
     own = np.searchsorted(lows, sizes, "right") - 1
     lowest = np.searchsorted(lows, -(-sizes * least // 100), "right") - 1
     for instance, (low, high) in enumerate(cuts):
         shape = shape_of(low, high, least)
+        retry = shape_of(low, high, least, again=True)
         chosen = np.flatnonzero((lowest <= instance) & (instance <= own) & (sizes > 0))
         if shape is None or not len(chosen):
             continue
         mine = np.isin(rows, chosen)
-        at, values = np.searchsorted(chosen, rows[mine]), hashes[mine]
+        at, values, used = np.searchsorted(chosen, rows[mine]), hashes[mine], rare[mine]
         for family in range(FAMILIES):
             seed = instance * FAMILIES + family
             if family:
                 values = mix(values ^ SEEDS[family])
                 order = np.lexsort((values, at))
-                at, values = at[order], values[order]
-            found, signs, sparse = signatures(at, values, len(chosen), shape, seed, family == FAMILIES - 1)
+                at, values, used = at[order], values[order], np.ones(len(at), dtype=bool)
+            found, signs, sparse = signatures(at[used], values[used], len(chosen), retry if family else shape, seed, family == FAMILIES - 1)
             yield seed, chosen[found], signs
             if not sparse.any():
                 break
@@ -189,8 +209,10 @@ def set_signatures(rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, leas
 
 def allowance(least: int) -> list[int]:
     """For each slot, how many of its commonest signatures a set may leave out."""
-    shapes = [shape_of(*b, least) for b in bands(least, 1 << 40)]
-    return [s.shared - 1 if s else 0 for s in shapes for _ in range(FAMILIES)]
+    shapes = [
+        shape_of(*b, least, again=family > 0) for b in bands(least, 1 << 40) for family in range(FAMILIES)
+    ]
+    return [s.shared - 1 if s else 0 for s in shapes]
 
 
 SENT = "part int, slot int, sign binary, mark binary, size binary, doc_id binary"
@@ -225,11 +247,36 @@ def _as_numbers(ids: pa.Array) -> np.ndarray:
     return np.where(ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), NO_ID)
 
 
+def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of shingles found often in a bounded sample of texts.
+
+    They only steer which signatures are made: links do not depend on them.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, hashes, _, _ in _blocks(batches, size):
+            found, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    found = (
+        docs.sample(share, seed=1)
+        .mapInArrow(count, "shingle bigint, n bigint")
+        .groupBy("shingle")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= COMMON)
+        .select("shingle")
+        .toPandas()  # of the sample's shingles, a fifth at most
+    )
+    return np.sort(found["shingle"].to_numpy(dtype=np.int64).view(U))
+
+
 def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
     """Rows of kind 0, ``doc_id, mark, size`` of each document, and of kind 1: signatures of several sets.
 
     Equal sets count once in a task, and once where signatures meet.
     """
+    common = common_shingles(docs, size)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, (ids, rows, hashes, sizes, marks) in enumerate(_blocks(batches, size)):
@@ -237,7 +284,7 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
             first = np.zeros(len(marks), dtype=bool)
             first[np.unique(marks, return_index=True)[1]] = True
             keep = first[rows]
-            for slot, at, signs in set_signatures(rows[keep], hashes[keep], np.where(first, sizes, 0), least):
+            for slot, at, signs in set_signatures(rows[keep], hashes[keep], np.where(first, sizes, 0), least, common):
                 part = (signs >> U(40)).astype(np.int64) % parts
                 order = np.argsort(part.astype(np.uint16) if parts < 65_536 else part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -402,8 +449,7 @@ def jaccard_components(
         .select(F.xxhash64("slot", "sign").alias("sign"), "mark", "size"),
         "jaccard-members",
     )
-    links = _all_links(source, members, size, least)
-    labels = components(links)
+    labels = _linked_components(source, members, size, least)
     named = documents.join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "component", F.coalesce("component", "mark")
     )
@@ -423,8 +469,8 @@ def jaccard_components(
     )
 
 
-def _all_links(source: DataFrame, members: DataFrame, size: int, least: int) -> DataFrame:
-    """Links ``high, low`` that connect all linked sets, see :func:`jaccard_components`."""
+def _linked_components(source: DataFrame, members: DataFrame, size: int, least: int) -> DataFrame:
+    """``node, component`` of all linked sets, see :func:`jaccard_components`."""
     like = F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * least
     hubs = stored(
         members.groupBy("sign")
@@ -446,8 +492,8 @@ def _all_links(source: DataFrame, members: DataFrame, size: int, least: int) ->
     tried = pairs
     left = members.join(hubs, "sign").where(F.col("mark") > F.col("hub")).select(*members.columns)
     hubs_at_once = 4
+    labels = components(links)
     while True:
-        labels = components(links)
         placed = stored(
             left.join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
                 "component", F.coalesce("component", "mark")
@@ -462,7 +508,7 @@ def _all_links(source: DataFrame, members: DataFrame, size: int, least: int) ->
             "jaccard-open",
         )
         if open_groups.isEmpty():
-            return links
+            return labels
         still = stored(
             placed.join(open_groups, "sign", "left_semi").withColumn(
                 "place", F.row_number().over(Window.partitionBy("sign").orderBy("mark"))
@@ -481,7 +527,10 @@ def _all_links(source: DataFrame, members: DataFrame, size: int, least: int) ->
             "jaccard-pairs",
         )
         tried = tried.union(pairs)
-        links = links.union(stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links"))
+        links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
+        if not links.isEmpty():
+            stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
+            labels = components(stars.union(links))
         left = still.where(F.col("place") > hubs_at_once).select(*members.columns)
         hubs_at_once *= 4
 
