@@ -94,3 +94,12 @@ def exact_copies(
 def op9_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the copy that stays."""
     return exact_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP9_SQL = """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256
+FROM t JOIN g USING (body)
+"""
