@@ -15,11 +15,12 @@ MIN_WORDS = 50
 
 def line_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id, row, at, line, words``: all lines with a word, ``at`` counting every line from 0."""
-    lines = docs.select(
+    texts = docs.select(
         F.col(id_column).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
-        F.posexplode(F.split(F.coalesce(text_column, F.lit("")), "\n")).alias("at", "text"),
+        F.coalesce(text_column, F.lit("")).alias("text"),
     )
+    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "text"))
     return (
         lines.select("doc_id", "row", "at", F.xxhash64("text").alias("line"), word_count(F.col("text")).alias("words"))
         .where("words > 0")
