@@ -65,7 +65,8 @@ def exact_copies(
         )
         going_on = F.col("size").isNotNull() & ~F.col("ended")
         level = stored(
-            cut.join(nodes, ["node", "digits", "ended"], "left").select(
+            # Never a broadcast: the nodes grow with the input.
+            cut.join(nodes.hint("merge"), ["node", "digits", "ended"], "left").select(
                 "doc_id",
                 "text_sha256",
                 F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
