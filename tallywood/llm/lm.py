@@ -35,6 +35,7 @@ BUCKETS, RARE_BUCKET = 18, 17
 # Cells of the held-out histogram: an eighth of a power of two wide, 0 for none.
 FINE, CELLS = 8, 400
 ROUNDS = 60
+NO_ID = np.iinfo(np.int64).min
 
 ROLE_NONE, ROLE_COUNTED, ROLE_HELD = 0, 1, 2
 
@@ -366,7 +367,7 @@ def mixture_weights(cell: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> np
 
 
 def score_tokens(docs: DataFrame, model: Model, parts: int) -> DataFrame:
-    """Sums per text: ``place, doc_id, n_tokens, n_known, base_score, score``."""
+    """Sums per text: ``doc_id, n_tokens, n_known, base_score, score``."""
     names = ["part", "block", "word", "context", "row", "ids", "tokens", "known", "base", "score"]
     wanted = {"word": U, "context": np.uint16, "row": np.uint32}
 
@@ -406,7 +407,7 @@ def score_tokens(docs: DataFrame, model: Model, parts: int) -> DataFrame:
                 yield packed(
                     [(
                         (next_row // 1000) % parts, block + next_row, empty, empty, empty,
-                        np.where(ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), np.iinfo(np.int64).min).tobytes(),
+                        np.where(ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), NO_ID).tobytes(),
                         np.bincount(rows, minlength=size).astype(np.int64).tobytes(),
                         np.bincount(rows, frequent & (count > 0), size).astype(np.int64).tobytes(),
                         np.bincount(rows, bases, size).tobytes(), np.bincount(rows, logs, size).tobytes(),
@@ -439,7 +440,7 @@ def score_tokens(docs: DataFrame, model: Model, parts: int) -> DataFrame:
                 ids, tokens, known = gathered(iter([row]), {"ids": np.int64, "tokens": np.int64, "known": np.int64})
                 base, score = gathered(iter([row]), {"base": np.float64, "score": np.float64})
                 if len(ids):
-                    yield _sums(block + np.arange(len(ids)), ids, tokens, known, base, score)
+                    yield from sums(block + np.arange(len(ids)), ids, tokens, known, base, score)
         if not found:
             return
         word, context, place, block = (np.concatenate(f) for f in zip(*found))
@@ -459,26 +460,37 @@ def score_tokens(docs: DataFrame, model: Model, parts: int) -> DataFrame:
         order = np.argsort(at, kind="stable")
         at, logs, count, rare = at[order], logs[order], count[order], rare[order]
         firsts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        yield _sums(
-            at[firsts], None, np.zeros(len(firsts), dtype=np.int64),
+        yield from sums(
+            at[firsts], np.full(len(firsts), NO_ID), np.zeros(len(firsts), dtype=np.int64),
             np.add.reduceat((rare & (count > 0)).astype(np.int64), firsts),
             np.add.reduceat(np.where(rare, model.base(count), 0.0), firsts), np.add.reduceat(logs, firsts),
         )
 
+    def sums(place: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Sums go, packed, to where all those of the texts of one task meet."""
+        rows = list(dealt((place >> 32) % parts, parts, [place, *values]))
+        yield packed([(p, *b) for p, b in rows], summed_names)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, ids, *counts = gathered(batches, kinds)
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        firsts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else place
+        if len(firsts):
+            ids = np.maximum.reduceat(ids[order], firsts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=ids == NO_ID), *[pa.array(np.add.reduceat(c[order], firsts)) for c in counts]],
+                names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
+            )
+
+    kinds = {"place": np.int64, "ids": np.int64, "tokens": np.int64, "known": np.int64, "base": np.float64, "score": np.float64}
+    summed_names = ["part", *kinds]
     return (
         docs.mapInArrow(send, shape_of(names))
         .repartitionById(parts, F.col("part"))
-        .mapInArrow(answer, "place bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-        .groupBy("place")
-        .agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    )
-
-
-def _sums(place, ids, tokens, known, base, score) -> pa.RecordBatch:
-    doc_id = pa.nulls(len(place), pa.int64()) if ids is None else pa.array(ids, mask=ids == np.iinfo(np.int64).min)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(place), doc_id, *[pa.array(a) for a in (tokens, known, base, score)]],
-        names=["place", "doc_id", "n_tokens", "n_known", "base_score", "score"],
+        .mapInArrow(answer, shape_of(summed_names))
+        .repartitionById(parts, F.col("part"))
+        .mapInArrow(total, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     )
 
 
