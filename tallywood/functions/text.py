@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tallywood.functions import patterns as P
 
+# Fixed value: the last millisecond of the year 9999.
+LAST_MILLISECOND = 253_402_300_799_999
+
 
 def matched(source: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match of ``pattern``, NULL without a match."""
@@ -61,20 +64,19 @@ def path_ids(path: Column) -> dict[str, Column]:
 
 
 def id_time(cluster_id: Column) -> Column:
-    """A cluster id is its manager's start in epoch milliseconds."""
+    """A cluster id is its manager's start in epoch milliseconds; NULL beyond the year 9999."""
+    started = cluster_id.try_cast("bigint")
     return F.timestamp_add(
         "MILLISECOND",
-        cluster_id.try_cast("bigint"),
+        F.when(started.between(0, LAST_MILLISECOND), started),
         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
     )
 
 
 def size_in_bytes(number: Column, unit: Column) -> Column:
-    """``12.5`` and ``KB`` to bytes, rounded; powers of 1024."""
-    factor = F.lit(None).cast("bigint")
-    for name, size in P.UNIT_BYTES.items():
-        factor = F.when(unit == name, F.lit(size)).otherwise(factor)
-    return F.round(number.try_cast("double") * factor).cast("bigint")
+    """``12.5`` and ``KB`` to bytes, rounded; powers of 1024; NULL if no bigint holds them."""
+    factors = F.create_map(*[F.lit(x) for unit_bytes in P.UNIT_BYTES.items() for x in unit_bytes])
+    return F.round(number.try_cast("double") * F.try_element_at(factors, unit)).try_cast("bigint")
 
 
 def whole_seconds(start: Column, end: Column) -> Column:

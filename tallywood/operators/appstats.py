@@ -10,28 +10,35 @@ from tallywood.functions.text import line_component, path_ids, whole_seconds
 from tallywood.operators import messages
 
 
-def component_counts(lines: DataFrame, rows: int | None = 20) -> DataFrame:
-    """Lines per component, most active first; NULL is "no component found"."""
-    counts = (
+def component_counts(lines: DataFrame) -> DataFrame:
+    """Lines of every component, most active first; NULL is "no component found"."""
+    return (
         lines.select(line_component(F.col("value")).alias("component"))
         .groupBy("component")
         .agg(F.count("*").alias("num_lines"))
         .orderBy(F.desc("num_lines"), F.asc_nulls_last("component"))
     )
-    return counts if rows is None else counts.limit(rows)
+
+
+def top_components(lines: DataFrame, rows: int = 20) -> DataFrame:
+    """The ``rows`` most active components."""
+    return component_counts(lines).limit(rows)
 
 
 def requested_resources(lines: DataFrame) -> DataFrame:
-    """Requested containers, cores and memory per application."""
+    """Requested containers, cores and memory per application.
+
+    A sum that no bigint holds is NULL; so is a product, which its sum leaves out.
+    """
     containers = F.col("containers")
     return (
         messages.resource_requests(lines)
         .groupBy("application_id")
         .agg(
             F.count("*").alias("num_requests"),
-            F.sum("containers").alias("containers"),
-            F.sum(containers * F.col("cores")).alias("cores"),
-            F.sum(containers * F.col("memory_mb")).alias("memory_mb"),
+            F.try_sum("containers").alias("containers"),
+            F.try_sum(F.try_multiply(containers, "cores")).alias("cores"),
+            F.try_sum(F.try_multiply(containers, "memory_mb")).alias("memory_mb"),
             F.max("cores").alias("max_cores"),
             F.max("memory_mb").alias("max_memory_mb"),
             F.max("overhead_mb").alias("max_overhead_mb"),
@@ -66,7 +73,7 @@ def app_task_times(tasks: DataFrame) -> DataFrame:
         F.count("*").alias("num_tasks"),
         (F.sum("seconds") / F.count("seconds")).alias("avg_seconds"),
         F.max("seconds").alias("max_seconds"),
-        F.sum("result_bytes").alias("result_bytes"),
+        F.try_sum("result_bytes").alias("result_bytes"),
     )
 
 
@@ -97,7 +104,7 @@ def app_python_times(lines: DataFrame) -> DataFrame:
     """Average Python worker phases per application, in milliseconds."""
 
     def mean(column: str) -> Column:
-        return F.sum(column) / F.count(column)
+        return F.try_sum(column) / F.count(column)
 
     return (
         messages.python_times(lines)
@@ -119,7 +126,7 @@ def cached_bytes(lines: DataFrame) -> DataFrame:
         .groupBy("application_id")
         .agg(
             F.count("*").alias("num_blocks"),
-            F.sum("block_bytes").alias("total_bytes"),
+            F.try_sum("block_bytes").alias("total_bytes"),
             F.max("block_bytes").alias("max_bytes"),
             F.min("free_bytes").alias("min_free_bytes"),
         )

@@ -33,11 +33,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def in_application() -> Column:
+    """Whether a file, inside a metric of :func:`group_named_files`, has an application."""
+    return F.col("application_id") != ""
+
+
 def group_named_files(files: DataFrame, keys: list[str], **metrics: Column) -> DataFrame:
     """Group per-file rows by path ids, leaving out files of no application.
 
-    Ids are never NULL here and the files with an application id are counted
-    after grouping.  A filter on the id, or one that a later join infers from a
+    Ids are never NULL while grouping and the files with an application id are
+    counted after it.  Metrics that mix files with and without application weigh them by
+    :func:`in_application`.  A filter on the id, or one that a later join infers from a
     nullable id, would be pushed below the per-file roll-up and run a path
     pattern for every log line instead of once per file.
     """

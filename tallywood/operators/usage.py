@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions.text import id_time
-from tallywood.operators.parsing import group_named_files, profile_files
+from tallywood.operators.parsing import group_named_files, in_application, profile_files
 
 
 def app_timeline(lines: DataFrame) -> DataFrame:
@@ -112,23 +112,36 @@ def cluster_start(timeline: DataFrame) -> DataFrame:
 
 
 def container_roles(lines: DataFrame) -> DataFrame:
-    """Lines and containers per application, split into master and executors."""
+    """Lines and containers per application, split into master and executors.
+
+    Lines of files without a container id count for neither.
+    """
     master, count = F.col("is_app_master"), F.col("num_lines")
+    container = F.nullif("container_id", F.lit(""))
+    executor = ~master & container.isNotNull()
     return group_named_files(
         profile_files(lines),
         ["application_id"],
         num_lines=F.sum(count),
-        num_containers=F.count_distinct("container_id"),
+        num_containers=F.count_distinct(container),
         master_lines=F.sum(F.when(master, count).otherwise(0)),
-        executor_lines=F.sum(F.when(~master, count).otherwise(0)),
+        executor_lines=F.sum(F.when(executor, count).otherwise(0)),
     )
 
 
 def error_rates(lines: DataFrame, by: str = "application_id") -> DataFrame:
-    """Lines, error lines and their share per application (or ``container_id``)."""
+    """Lines, error lines and their share per application (or ``container_id``).
+
+    Lines of files without a container id are one row, whose key is NULL.
+    """
     return group_named_files(
         profile_files(lines),
         [by],
-        num_lines=F.sum("num_lines"),
-        error_lines=F.sum("error_lines"),
-    ).withColumn("error_share", F.col("error_lines") / F.col("num_lines"))
+        num_lines=F.sum(F.when(in_application(), F.col("num_lines"))),
+        error_lines=F.sum(F.when(in_application(), F.col("error_lines"))),
+    ).withColumns(
+        {
+            by: F.nullif(F.col(by), F.lit("")),
+            "error_share": F.col("error_lines") / F.col("num_lines"),
+        }
+    )

@@ -6,7 +6,6 @@ queries read the log view of ``events``; trip queries read ``lineitem``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -79,14 +78,9 @@ def _positioned(spark: SparkSession, folder: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only a local session, whose tasks all run on this machine, may do without
-    that setting.
+    Without that setting the warehouse folder, which is always set, takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tallywood-{uuid.uuid4().hex}"
 
 
@@ -158,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "duration_density_by_cluster": lambda s, d: durations.duration_density(_timeline(s, d)),
     # known messages
     "component_counts": lambda s, d: appstats.component_counts(_lines(s, d)),
+    "top_components": lambda s, d: appstats.top_components(_lines(s, d)),
     "resource_requests": lambda s, d: messages.resource_requests(_lines(s, d)),
     "requested_resources": lambda s, d: appstats.requested_resources(_lines(s, d)),
     "container_requests": lambda s, d: messages.container_requests(_lines(s, d)),

@@ -314,6 +314,8 @@ SELECT application_id, cluster_id, duration_sec, n FROM spans """ + _ONLY_BUSIES
     "duration_density_by_cluster": _TIMELINE + _DENSITY.format(where=""),
     # known messages
     "component_counts": _LOG + r"""
+SELECT component, count(*) AS num_lines FROM parsed GROUP BY component""",
+    "top_components": _LOG + r"""
 SELECT component, count(*) AS num_lines FROM parsed GROUP BY component
 ORDER BY num_lines DESC, component NULLS LAST LIMIT 20""",
     "resource_requests": _LOG + _REQUESTS,

@@ -10,13 +10,14 @@ from tallywood.functions.text import matched
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file_path, bytes`` of every file; content is not read.
+    """``file_path, bytes`` of every file in folders of any depth; content is not read.
 
     Column pruning keeps the ``content`` column out of the scan.  A path that
     does not exist raises Spark's own ``PATH_NOT_FOUND`` error.
     """
     return (
         spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
         .load(path)
         .select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
     )

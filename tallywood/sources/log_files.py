@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``value, file_path`` of every line below ``path`` (any Hadoop URI or glob).
+    """``value, file_path`` of every line below ``path`` (any Hadoop URI or glob), in folders of any depth.
 
     ``file_path`` comes from the scan's own metadata, so it survives shuffles.
     Task size follows ``spark.sql.files.maxPartitionBytes`` and a large
     uncompressed file is split over many tasks.
     """
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    return text.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
 def read_positioned_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -24,7 +25,7 @@ def read_positioned_log_lines(spark: SparkSession, path: str | list[str]) -> Dat
     of one block.  It is taken directly at the scan, below any shuffle or
     filter, where a task reads its piece from front to back.
     """
-    return spark.read.text(path).select(
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),

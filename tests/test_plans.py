@@ -102,7 +102,7 @@ def test_sampling_and_top_lists_do_not_sort(spark, lines):
     for df in (
         levels.sample_lines(lines),
         levels.sample_lines(lines, seed=None),
-        appstats.component_counts(lines),
+        appstats.top_components(lines),
         QUERIES["largest_applications"](spark, FOLDER),
     ):
         plan = physical(df)
