@@ -47,7 +47,10 @@ def requested_resources(lines: DataFrame) -> DataFrame:
 
 
 def task_times(lines: DataFrame) -> DataFrame:
-    """Start, end, whole seconds and result size of every task seen twice.
+    """Start, end, whole seconds and result size of every task with a line.
+
+    Start or end is NULL if no such line was seen.  A task that ends before it
+    starts is ``out_of_order``.  ``seconds`` is NULL for both.
 
     A task's two lines meet by grouping on application, stage and task id, not
     by a self-join.  The task id spreads even one huge application or stage
@@ -62,23 +65,33 @@ def task_times(lines: DataFrame) -> DataFrame:
             F.max(F.when(done, F.col("ts"))).alias("task_end"),
             F.max("result_bytes").alias("result_bytes"),
         )
-        .where(F.col("task_end") >= F.col("task_start"))
-        .withColumn("seconds", whole_seconds(F.col("task_start"), F.col("task_end")))
+        .withColumn("out_of_order", F.coalesce(F.col("task_end") < F.col("task_start"), F.lit(False)))
+        .withColumn("seconds", F.when(~F.col("out_of_order"), whole_seconds(F.col("task_start"), F.col("task_end"))))
     )
 
 
+def _task_counts() -> list[Column]:
+    """All tasks, those without an end, those that end before they start, and those with seconds."""
+    return [
+        F.count("*").alias("num_tasks"),
+        F.count_if(F.col("task_end").isNull()).alias("num_unfinished"),
+        F.count_if("out_of_order").alias("num_out_of_order"),
+        F.count("seconds").alias("num_timed"),
+    ]
+
+
 def app_task_times(tasks: DataFrame) -> DataFrame:
-    """Tasks and their average and longest seconds per application."""
+    """Tasks per application, and the average and longest seconds of the timed ones."""
     return tasks.groupBy("application_id").agg(
-        F.count("*").alias("num_tasks"),
-        (F.sum("seconds") / F.count("seconds")).alias("avg_seconds"),
+        *_task_counts(),
+        F.try_divide(F.sum("seconds"), F.count("seconds")).alias("avg_seconds"),
         F.max("seconds").alias("max_seconds"),
         F.try_sum("result_bytes").alias("result_bytes"),
     )
 
 
 def stage_skew(tasks: DataFrame) -> DataFrame:
-    """Spread of task seconds per stage; ``skew`` is longest over median.
+    """Spread of timed tasks' seconds per stage; ``skew`` is longest over median.
 
     The exact percentiles keep a count per distinct second, merged from every
     task's own counts, so their size follows the range of the seconds and not
@@ -87,7 +100,7 @@ def stage_skew(tasks: DataFrame) -> DataFrame:
     return (
         tasks.groupBy("application_id", "stage")
         .agg(
-            F.count("*").alias("num_tasks"),
+            *_task_counts(),
             F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY seconds)")
             .cast("bigint")
             .alias("median_seconds"),

@@ -7,78 +7,75 @@ from pyspark.sql import functions as F
 
 from tallywood.functions.text import starts_with_stamp
 
+#: Most lines of one row of :func:`multiline_records`.
+LINES_PER_PART = 10_000
 
-def _blocks(stamped: DataFrame) -> DataFrame:
-    """One row per file and block: which stamped line reaches where.
 
-    ``last_head`` is the block's last stamped line and ``last_reach`` the number
-    of later blocks its record runs into; ``carried`` is the stamped line whose
-    record is still running when the block begins, ``carried_reach`` the same
-    for it.
+def _blocks(numbered: DataFrame) -> DataFrame:
+    """One row per file and block: its lines, and what comes before it.
+
+    ``before`` is the number of lines in earlier blocks, ``last_at`` the place
+    in the block of its last stamped line.  ``carried`` (``pos``) and
+    ``carried_line`` (line number) name the stamped line whose record is still
+    running when the block begins.
     """
-    forward = Window.partitionBy("file_path").orderBy("block")
-    backward = Window.partitionBy("file_path").orderBy(F.desc("block"))
-    before = forward.rowsBetween(Window.unboundedPreceding, -1)
-    after = backward.rowsBetween(Window.unboundedPreceding, -1)
-    whole_file = Window.partitionBy("file_path")
-    number, has_head = F.col("number"), F.col("last_head").isNotNull()
-    # The last block that the record running up to this block's first stamp touches.
-    end = F.when(F.col("first_head") > F.col("first_pos"), number).otherwise(number - 1)
-    next_end = F.coalesce("next_end", "num_blocks")
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        stamped.groupBy("file_path", "block")
+        numbered.groupBy("file_path", "block")
         .agg(
-            F.min("pos").alias("first_pos"),
-            F.min("head").alias("first_head"),
-            F.max("head").alias("last_head"),
-        )
-        .withColumn("number", F.row_number().over(forward))
-        .withColumns({"headed": F.when(has_head, number), "end": F.when(has_head, end)})
-        .select(
-            "file_path",
-            "block",
-            "last_head",
-            "number",
-            "end",
-            F.last("last_head", ignorenulls=True).over(before).alias("carried"),
-            F.last("headed", ignorenulls=True).over(before).alias("carried_from"),
-            F.last("end", ignorenulls=True).over(after).alias("next_end"),
-            F.count("*").over(whole_file).alias("num_blocks"),
+            F.count("*").alias("num_lines"),
+            F.max(F.when(F.col("stamped"), F.col("at"))).alias("last_at"),
+            F.max(F.when(F.col("stamped"), F.col("pos"))).alias("last_head"),
         )
+        .withColumn("before", F.coalesce(F.sum("num_lines").over(earlier), F.lit(0)))
         .select(
             "file_path",
             "block",
-            "last_head",
-            "carried",
-            (next_end - number).alias("last_reach"),
-            (F.coalesce("end", next_end) - F.col("carried_from")).alias("carried_reach"),
+            "num_lines",
+            "last_at",
+            "before",
+            F.last("last_head", ignorenulls=True).over(earlier).alias("carried"),
+            F.last(F.col("before") + F.col("last_at"), ignorenulls=True).over(earlier).alias("carried_line"),
         )
     )
 
 
-def _placed(lines: DataFrame, max_blocks: int = 1) -> DataFrame:
-    """``lines`` plus ``record``, ``open`` and ``part``.
+def _placed(lines: DataFrame) -> DataFrame:
+    """``lines`` plus its place: see :func:`_blocks`, and per line
 
-    ``open`` marks lines whose record can reach into another block: those of a
-    block's last record, and those carried in from an earlier block.  ``part``
-    is the line's block if its record reaches into more than ``max_blocks``
-    later ones, else NULL.
+    ``line`` its number in the file from 1, ``own`` and ``own_line`` the ``pos``
+    and number of the stamped line its record begins with, and ``open`` whether
+    the record can reach into another block.
+
+    The text moves once, by file and block.  Stamps are looked for behind that
+    exchange and not before it, so that the rows per block come from the same
+    exchange, and from the same scan, as the lines.
     """
-    stamped = lines.withColumn("head", F.when(starts_with_stamp(F.col("value")), F.col("pos")))
     so_far = Window.partitionBy("file_path", "block").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    own, carried = F.col("own"), F.col("carried")
-    is_last = own == F.col("last_head")
-    reach = F.when(own.isNull(), F.col("carried_reach")).when(is_last, F.col("last_reach"))
+    numbered = (
+        lines.repartition("file_path", "block")
+        .withColumn("stamped", F.coalesce(starts_with_stamp(F.col("value")), F.lit(False)))
+        .withColumn("at", F.row_number().over(so_far).cast("bigint"))
+    )
+    stamped, before = F.col("stamped"), F.col("before")
     return (
-        stamped.withColumn("own", F.max("head").over(so_far))
-        .join(_blocks(stamped), ["file_path", "block"])
+        numbered.withColumns(
+            {
+                "head": F.max(F.when(stamped, F.col("pos"))).over(so_far),
+                "head_at": F.max(F.when(stamped, F.col("at"))).over(so_far),
+            }
+        )
+        .join(_blocks(numbered), ["file_path", "block"])
         .select(
             *lines.columns,
-            F.coalesce(own, carried).alias("record"),
-            F.coalesce(is_last, carried.isNotNull()).alias("open"),
-            F.when(reach > max_blocks, F.col("block")).alias("part"),
+            "before",
+            "num_lines",
+            (before + F.col("at")).alias("line"),
+            F.coalesce("head", "carried").alias("own"),
+            F.coalesce(before + F.col("head_at"), "carried_line").alias("own_line"),
+            F.coalesce(F.col("head_at") == F.col("last_at"), F.col("carried").isNotNull()).alias("open"),
         )
     )
 
@@ -91,39 +88,45 @@ def assign_records(lines: DataFrame) -> DataFrame:
     within the file) orders the lines of a block.  A line's record is the last
     stamped line at or above it: found inside its block or, failing that,
     carried in from earlier blocks, of which there is one row each.  No task
-    ever has to hold a whole file.  Lines above a file's first stamp have no
-    record (NULL).
+    has to hold more than a block; a compressed file, which no scan can cut,
+    is one block.  Lines above a file's first stamp have no record (NULL).
     """
-    return _placed(lines).drop("open", "part")
+    return _placed(lines).select(*lines.columns, F.col("own").alias("record"))
 
 
-def multiline_records(lines: DataFrame, max_blocks: int = 1) -> DataFrame:
-    """``file_path, record, part, num_lines, text``: one row per record.
+def multiline_records(lines: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """``file_path, record, part, num_lines, text``: every record, whole.
 
-    Text is shuffled once, by file and block, and records are put together
-    where their lines then are.  Only the last record of each block, and what
-    runs over into later ones, goes through a second, small shuffle.
+    ``lines`` is as in :func:`assign_records`.  ``record`` is the number in the
+    file (from 1) of the record's first line.  A record comes in parts of
+    ``lines_per_part`` lines, numbered from 0, so that no row grows without
+    bound; a record no longer than that is its part 0.  A line above a file's
+    first stamp is a record of its own.  The result does not depend on how a
+    scan cuts the files.
 
-    Two kinds of lines could make one text grow without bound.  A record that
-    reaches into more than ``max_blocks`` later blocks, and so fills at least
-    one of them, comes whole but in parts: a row per block, ``part`` (NULL for
-    all other records) in order.  Lines without a record stay single rows.
+    The text is read once and shuffled once, by file and block, and parts are
+    put together where their lines then are.  Only parts that can reach over
+    the edge of a block go through a second, small shuffle.
     """
-    placed = _placed(lines, max_blocks)
-    parts = F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts")
-    alone = F.when(F.col("record").isNull(), F.col("pos")).alias("alone")
-    inside = (
-        placed.where(~F.col("open"))
-        # No such line has a part; asking for it lets both halves share their scans.
-        .groupBy("file_path", "block", "record", "part", alone)
-        .agg(parts)
-        .select("file_path", F.coalesce("record", "alone").alias("record"), "part", "parts")
+    line, own_line, before = F.col("line"), F.col("own_line"), F.col("before")
+    part = F.coalesce(F.floor((line - own_line) / lines_per_part), F.lit(0)).cast("bigint")
+    first = own_line + F.col("part") * lines_per_part
+    whole = (first > before) & (first + (lines_per_part - 1) <= before + F.col("num_lines"))
+    placed = _placed(lines).withColumn("part", part).select(
+        "file_path",
+        "block",
+        F.coalesce("own_line", "line").alias("record"),
+        "part",
+        (F.col("open") & ~whole).alias("crosses"),
+        F.struct("line", "value").alias("content"),
     )
-    across = placed.where("open").groupBy("file_path", "record", "part").agg(parts)
+    content = F.array_sort(F.collect_list("content")).alias("content")
+    inside = placed.where(~F.col("crosses")).groupBy("file_path", "block", "record", "part").agg(content).drop("block")
+    across = placed.where("crosses").groupBy("file_path", "record", "part").agg(content)
     return inside.union(across).select(
         "file_path",
         "record",
         "part",
-        F.size("parts").cast("bigint").alias("num_lines"),
-        F.array_join(F.col("parts.value"), "\n").alias("text"),
+        F.size("content").cast("bigint").alias("num_lines"),
+        F.array_join(F.col("content.value"), "\n").alias("text"),
     )

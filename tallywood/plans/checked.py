@@ -29,8 +29,9 @@ SHIPMENTS = daily.TripColumns(
     passengers="l_quantity",
 )
 SHIP_YEAR = 1998
-# Lines per block where the position is a plain line number.
-BLOCK_LINES = 1_000_000
+# Small blocks and parts, so that many records of the log view reach over both.
+BLOCK_LINES = 97
+PART_LINES = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,7 +169,7 @@ QUERIES: dict[str, Query] = {
     "cached_bytes": lambda s, d: appstats.cached_bytes(_lines(s, d)),
     "broadcast_reads": lambda s, d: messages.broadcast_reads(_lines(s, d)),
     "host_containers": lambda s, d: appstats.host_containers(_lines(s, d)),
-    "multiline_records": lambda s, d: records.multiline_records(_positioned(s, d)),
+    "multiline_records": lambda s, d: records.multiline_records(_positioned(s, d), PART_LINES),
     # trips
     "daily_summary": _daily,
     "daily_rollup": lambda s, d: daily.daily_rollup(_daily(s, d)),

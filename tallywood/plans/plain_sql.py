@@ -141,8 +141,10 @@ _TASKS = _LOG + r""", tasks AS (
   )
   GROUP BY application_id, stage, tid
 ), timed AS (
-  SELECT *, date_sub('second', task_start, task_end) AS seconds
-  FROM tasks WHERE task_start <= task_end
+  SELECT *, coalesce(task_end < task_start, false) AS out_of_order,
+         CASE WHEN task_start <= task_end THEN date_sub('second', task_start, task_end) END
+           AS seconds
+  FROM tasks
 )"""
 
 _DAILY = r"""
@@ -346,12 +348,19 @@ FROM parsed
 WHERE regexp_matches(value, '(Running|Finished) task \d+\.\d+ in stage \d+\.\d+ \(TID \d+\)')""",
     "task_times": _TASKS + " SELECT * FROM timed",
     "app_task_times": _TASKS + r"""
-SELECT application_id, count(*) AS num_tasks, sum(seconds) / count(seconds) AS avg_seconds,
+SELECT application_id, count(*) AS num_tasks,
+       count(*) FILTER (task_end IS NULL) AS num_unfinished,
+       count(*) FILTER (out_of_order) AS num_out_of_order,
+       count(seconds) AS num_timed,
+       sum(seconds) / nullif(count(seconds), 0) AS avg_seconds,
        max(seconds) AS max_seconds, cast(sum(result_bytes) AS bigint) AS result_bytes
 FROM timed GROUP BY application_id""",
     "stage_skew": _TASKS + r"""
 SELECT *, max_seconds / nullif(median_seconds, 0) AS skew FROM (
   SELECT application_id, stage, count(*) AS num_tasks,
+         count(*) FILTER (task_end IS NULL) AS num_unfinished,
+         count(*) FILTER (out_of_order) AS num_out_of_order,
+         count(seconds) AS num_timed,
          percentile_disc(0.5) WITHIN GROUP (ORDER BY seconds) AS median_seconds,
          percentile_disc(0.95) WITHIN GROUP (ORDER BY seconds) AS p95_seconds,
          max(seconds) AS max_seconds
@@ -388,19 +397,18 @@ SELECT host, count(DISTINCT container_id) AS num_containers, count(*) AS num_men
 FROM (SELECT unnest(regexp_extract_all(value, 'mesos-slave-\w+')) AS host, container_id FROM parsed)
 GROUP BY host""",
     "multiline_records": _LOG + r"""
-SELECT file_path, coalesce(head, alone) AS record, cast(NULL AS bigint) AS part,
-       count(*) AS num_lines,
-       string_agg(value, chr(10) ORDER BY event_id) AS text
+SELECT file_path, coalesce(head, line) AS record, coalesce((line - head) // 3, 0) AS part,
+       count(*) AS num_lines, string_agg(value, chr(10) ORDER BY line) AS text
 FROM (
-  SELECT *, CASE WHEN head IS NULL THEN event_id END AS alone FROM (
-    SELECT file_path, event_id, value,
-           max(CASE WHEN regexp_matches(value, '^\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}')
-                    THEN event_id END)
-             OVER (PARTITION BY file_path ORDER BY event_id) AS head
+  SELECT *, max(CASE WHEN regexp_matches(value, '^\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}')
+                     THEN line END)
+              OVER (PARTITION BY file_path ORDER BY line) AS head
+  FROM (
+    SELECT file_path, value, row_number() OVER (PARTITION BY file_path ORDER BY event_id) AS line
     FROM log_lines
   )
 )
-GROUP BY file_path, head, alone""",
+GROUP BY file_path, coalesce(head, line), coalesce((line - head) // 3, 0)""",
     # trips
     "daily_summary": _DAILY + " SELECT * FROM daily",
     "daily_rollup": _DAILY + r"""

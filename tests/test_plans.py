@@ -172,11 +172,11 @@ def test_records_are_split_by_block(spark, lines, tmp_path):
     plan = physical(df)
     assert re.search(r"hashpartitioning\(file_path#\d+, block#\d+L", plan)
     assert "SortAggregate" not in plan
-    # Records inside a block are grouped without moving text again.
+    # Parts inside a block are grouped without moving text again.
     inside = plan[: plan.index("Exchange")]
     assert "collect_list" in inside
     final = ran(df)
-    assert final.count("FileScan text") == 2  # stamps per block, and the text
+    assert final.count("FileScan text") == 1
     assert "ReusedExchange" in final
 
 

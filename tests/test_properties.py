@@ -105,14 +105,15 @@ def test_timeline_and_summary(spark, log):
 
 
 @few
-@given(st.lists(st.booleans(), max_size=40), st.integers(1, 6), st.integers(0, 3))
-def test_records_lose_no_line(spark, stamped, block_lines, max_blocks):
+@given(st.lists(st.booleans(), max_size=40), st.integers(1, 6), st.integers(1, 4))
+def test_records_lose_no_line(spark, stamped, block_lines, lines_per_part):
     made = [
         ("f", i // block_lines, i, ("17/03/29 10:04:41 " if head else "  ") + str(i))
         for i, head in enumerate(stamped)
     ]
     lines = spark.createDataFrame(made, "file_path string, block bigint, pos bigint, value string")
-    got = sorted(multiline_records(lines, max_blocks).collect(), key=lambda r: (r[1], r[2] or 0))
+    got = sorted(multiline_records(lines, lines_per_part).collect(), key=lambda r: (r["record"], r["part"]))
     assert "\n".join(r["text"] for r in got) == "\n".join(m[3] for m in made)
     assert sum(r["num_lines"] for r in got) == len(made)
-    assert {r["record"] for r in got} >= {i for i, head in enumerate(stamped) if head}
+    assert all(r["num_lines"] <= lines_per_part for r in got)
+    assert {r["record"] for r in got} >= {i + 1 for i, head in enumerate(stamped) if head}

@@ -10,15 +10,16 @@ STAMP = "17/03/29 10:04:41 INFO a: "
 SCHEMA = "file_path string, block bigint, pos bigint, value string"
 
 
-def by_hand(lines):
-    """``(file, record, count, text)`` of lines given in order per file."""
-    found, open_record = {}, {}
-    for file, _, pos, value in lines:
+def by_hand(lines, lines_per_part):
+    """Rows of lines given in order per file."""
+    found, open_record, number = {}, {}, {}
+    for file, _, _, value in lines:
+        number[file] = line = number.get(file, 0) + 1
         if value.startswith("17/"):
-            open_record[file] = pos
-        record = open_record.get(file, pos)
-        found.setdefault((file, record), []).append(value)
-    return sorted((f, r, len(v), "\n".join(v)) for (f, r), v in found.items())
+            open_record[file] = line
+        record = open_record.get(file, line)
+        found.setdefault((file, record, (line - record) // lines_per_part), []).append(value)
+    return sorted((*key, len(v), "\n".join(v)) for key, v in found.items())
 
 
 def made_lines(seed, block_lines):
@@ -31,47 +32,25 @@ def made_lines(seed, block_lines):
     return lines
 
 
+@pytest.mark.parametrize("lines_per_part", [1, 2, 5, 10_000])
 @pytest.mark.parametrize("block_lines", [1, 3, 10, 1000])
-def test_records_whatever_the_blocks(spark, block_lines):
+def test_records_whatever_the_blocks(spark, block_lines, lines_per_part):
     lines = made_lines(11, block_lines)
     shuffled = lines[:]
     random.Random(1).shuffle(shuffled)
-    got = rows(multiline_records(spark.createDataFrame(shuffled, SCHEMA), max_blocks=100))
-    assert all(r[2] is None for r in got)
-    assert sorted(r[:2] + r[3:] for r in got) == by_hand(lines)
-
-
-@pytest.mark.parametrize("block_lines, max_blocks", [(1, 1), (1, 2), (3, 1), (3, 0), (10, 1)])
-def test_long_records_come_whole_in_parts(spark, block_lines, max_blocks):
-    lines = made_lines(11, block_lines)
-    got = rows(multiline_records(spark.createDataFrame(lines, SCHEMA), max_blocks))
-    pieces = {}
-    for file, record, part, count, text in got:
-        pieces.setdefault((file, record), []).append((part, count, text))
-    block_of = {(file, pos): block for file, block, pos, _ in lines}
-    whole = by_hand(lines)
-    assert set(pieces) == {w[:2] for w in whole}
-    for file, record, count, text in whole:
-        # Lines above the first stamp are records of their own, of one line.
-        first, last = block_of[file, record], block_of[file, record + count - 1]
-        mine = sorted(pieces[file, record], key=lambda p: -1 if p[0] is None else p[0])
-        if last - first > max_blocks:
-            assert [p[0] for p in mine] == list(range(first, last + 1))
-        else:
-            assert [p[0] for p in mine] == [None]
-        assert sum(p[1] for p in mine) == count
-        assert "\n".join(p[2] for p in mine) == text
+    got = rows(multiline_records(spark.createDataFrame(shuffled, SCHEMA), lines_per_part))
+    assert sorted(got) == by_hand(lines, lines_per_part)
 
 
 def test_one_record_with_nearly_all_lines(spark):
-    """No row holds more than a block of it, and no line is lost."""
+    """No row holds more than a part of it, and no line is lost."""
     lines = spark.range(20_000).repartition(8).selectExpr(
         "'f' AS file_path", "id div 1000 AS block", "id AS pos",
         f"if(id = 10, '{STAMP}', concat('line ', id)) AS value",
     )
-    got = sorted(rows(multiline_records(lines)), key=lambda r: (r[1], r[2] or 0))
-    assert [r[1:4] for r in got[:10]] == [(i, None, 1) for i in range(10)]
-    assert [r[1:4] for r in got[10:]] == [(10, b, 990 if b == 0 else 1000) for b in range(20)]
+    got = sorted(rows(multiline_records(lines, 300)))
+    assert [r[1:4] for r in got[:10]] == [(i + 1, 0, 1) for i in range(10)]
+    assert [r[1:4] for r in got[10:]] == [(11, p, min(300, 19_990 - 300 * p)) for p in range(67)]
     text = "\n".join(r[4] for r in got[10:])
     assert text == "\n".join([STAMP] + [f"line {i}" for i in range(11, 20_000)])
 
@@ -84,22 +63,25 @@ def test_lines_keep_their_columns(spark):
 
 
 def test_records_of_files_read_in_many_pieces(spark, tmp_path):
+    """The same rows however the scan cuts the files, with a record over many cuts."""
     pick = random.Random(2)
     wanted = []
     for name in ("one.log", "two.log"):
-        records = []
+        lines = []
         for i in range(400):
-            body = [f"    at frame {i}.{j}" for j in range(pick.choice([0, 0, 1, 3, 9]))]
-            records.append("\n".join([f"{STAMP}{name} {i}", *body]))
-        (tmp_path / name).write_text("\n".join(records) + "\n")
-        wanted += records
+            frames = 3_000 if i == 200 else pick.choice([0, 0, 1, 3, 9])
+            lines += [f"{STAMP}{name} {i}", *(f"    at frame {i}.{j}" for j in range(frames))]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        wanted += [(name, 0, 0, line) for line in lines]
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    blocks = []
     try:
-        lines = read_positioned_log_lines(spark, str(tmp_path))
-        assert lines.select("file_path", "block").distinct().count() > 8
-        got = multiline_records(lines).collect()
+        for size in ("3000", "20000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = read_positioned_log_lines(spark, str(tmp_path))
+            blocks.append(lines.select("file_path", "block").distinct().count())
+            got = [(r[0].rsplit("/", 1)[1], *r[1:]) for r in rows(multiline_records(lines, 100))]
+            assert sorted(got) == by_hand(wanted, 100)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert all(r["part"] is None for r in got)
-    assert sorted(r["text"] for r in got) == sorted(wanted)
+    assert blocks[0] > blocks[1] > blocks[2] == 2
