@@ -28,6 +28,9 @@ from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
 SIZE, LEAST = 5, 75  # words of a shingle; similarity in percent
 FAMILIES, BLOCK_SHINGLES, SPARE = 6, 1_000_000, 0.08
 MARK_BITS = 25
+SKETCH_BITS = 10
+SKETCH = (1 << SKETCH_BITS) // 64
+WORDS = [f"w{i}" for i in range(SKETCH)]
 # Shingles in so many of so many sampled texts are common.
 SAMPLE, COMMON = 10_000, 5
 SEEDS = mix(np.arange(1, 64, dtype=U))
@@ -359,26 +362,47 @@ def marked_bits(marks: DataFrame) -> np.ndarray:
     return table
 
 
+def sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` words for each of ``n`` sets: the parity of its shingles at each bit.
+
+    A shingle that only one of two sets has turns one bit, so two sketches
+    never differ in more bits than the sets do in shingles.
+    """
+    words = np.zeros(n * SKETCH, dtype=U)
+    place = mix(hashes ^ SEEDS[59]) >> U(64 - SKETCH_BITS)
+    np.bitwise_xor.at(words, rows * SKETCH + (place >> U(6)).astype(np.int64), U(1) << (place & U(63)))
+    return words.reshape(n, SKETCH).view(np.int64)
+
+
 def sets_of(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
-    """``mark, shingles`` of the sets in ``marks``, as sorted packed hashes."""
+    """``mark, shingles`` of the sets in ``marks``, as sorted packed hashes, and the words of their sketches."""
     bits = marked_bits(marks)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, rows, hashes, sizes, own in _blocks(batches, size):
             place = own % (1 << MARK_BITS)
-            wanted = (bits[place // 63] >> (place % 63)) & 1
+            wanted = ((bits[place // 63] >> (place % 63)) & 1).astype(bool) & (sizes > 0)
             ends = np.cumsum(sizes)
-            out = []
-            for i in np.flatnonzero(wanted & (sizes > 0)):
+            chosen = []
+            for i in np.flatnonzero(wanted):
                 if own[i] not in seen:
                     seen.add(own[i])
-                    out.append((own[i], hashes[ends[i] - sizes[i] : ends[i]].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["mark", "shingles"])
+                    chosen.append(i)
+            if chosen:
+                at = np.full(len(sizes), -1)
+                at[chosen] = np.arange(len(chosen))
+                mine = at[rows] >= 0
+                words = sketches(at[rows[mine]], hashes[mine], len(chosen))
+                packed = [hashes[ends[i] - sizes[i] : ends[i]].tobytes() for i in chosen]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[chosen], pa.int64()), pa.array(packed, pa.binary()), *[pa.array(w) for w in words.T]],
+                    names=["mark", "shingles", *WORDS],
+                )
 
     # A set comes at most once from each task; any of its copies will do.
-    found = docs.mapInArrow(pick, "mark bigint, shingles binary").join(marks, "mark", "left_semi")
+    schema = ", ".join(["mark bigint, shingles binary", *[f"{w} bigint" for w in WORDS]])
+    found = docs.mapInArrow(pick, schema).join(marks, "mark", "left_semi")
     return stored(found.dropDuplicates(["mark"]), "jaccard-sets")
 
 
@@ -421,13 +445,17 @@ def jaccard_components(
 
     Equal sets are one from the start.  Signatures that several sets share are
     kept; a set leaves out as many of its commonest ones as linked sets share
-    more than one.  Then, in each group of sets with the same signature, one
-    set is compared with all others, the links so far become components, and
-    groups whose remaining sets lie in one component are done.  Of the others,
-    the next 4, 16, 64, ... sets are compared with those of other components.
-    So every link is found or lies within a component already, while a large
-    group of near copies costs about one comparison for each set.  Shingles and sets
-    are told apart by 64-bit hashes.
+    more than one.  Then each set is compared with one other, of the sets that
+    come first in its groups (the sets with one signature) that which it shares
+    most groups with, and the links so far become components.  Groups whose
+    sets lie in one component are done.  Of the others, the first 4, then the
+    next 16, 64, ... sets are compared with those of other components; a sketch
+    of 1,024 parities, in which sets never differ more than in their shingles,
+    rules out most pairs before sets are sent.  So every link is found or lies
+    within a component already, while a large group of near copies costs about
+    one comparison for each set.  Sketches tell little about sets of over some
+    1,800 shingles, whose pairs are then all compared.  Shingles, sets and
+    groups are told apart by hashes of 64 bits or more.
 
     ``parts`` (default: the session's shuffle partitions) divides the
     signatures; a task holds one part.  Documents without id take part but do
@@ -472,6 +500,8 @@ def jaccard_components(
 def _linked_components(source: DataFrame, members: DataFrame, size: int, least: int) -> DataFrame:
     """``node, component`` of all linked sets, see :func:`jaccard_components`."""
     like = F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * least
+    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"hub_{w}"))) for w in WORDS), F.lit(0))
+    near = apart * (100 + least) <= (F.col("size") + F.col("hub_size")) * (100 - least)
     hubs = stored(
         members.groupBy("sign")
         .agg(F.min(F.struct("mark", "size")).alias("hub"), F.max("mark").alias("top"))
@@ -479,18 +509,21 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
         .select("sign", F.col("hub.mark").alias("hub"), F.col("hub.size").alias("hub_size")),
         "jaccard-hubs",
     )
+    left = stored(members.join(hubs.select("sign"), "sign"), "jaccard-left")
+    # First each set with that one which it shares most signatures with.
     pairs = stored(
-        members.join(hubs, "sign")
+        left.join(hubs, "sign")
         .where((F.col("mark") > F.col("hub")) & like)
-        .select(F.col("hub").alias("low"), F.col("mark").alias("high"))
-        .distinct(),
+        .groupBy("mark", "hub")
+        .agg(F.count("*").alias("n"))
+        .groupBy(F.col("mark").alias("high"))
+        .agg(F.max_by("hub", F.struct("n", "hub")).alias("low"))
+        .select("low", "high"),
         "jaccard-pairs",
     )
-    used = members.join(hubs, "sign", "left_semi").select("mark").distinct()
-    sets = sets_of(source, stored(used, "jaccard-used"), size)
+    sets = sets_of(source, stored(left.select("mark").distinct(), "jaccard-used"), size)
     links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
     tried = pairs
-    left = members.join(hubs, "sign").where(F.col("mark") > F.col("hub")).select(*members.columns)
     hubs_at_once = 4
     labels = components(links)
     while True:
@@ -500,10 +533,19 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
             ),
             "jaccard-placed",
         )
+        # Of groups with the same sets one is enough.
         open_groups = stored(
             placed.groupBy("sign")
-            .agg(F.min("component").alias("one"), F.max("component").alias("other"))
+            .agg(
+                F.min("component").alias("one"),
+                F.max("component").alias("other"),
+                F.count("*").alias("n"),
+                F.bit_xor(F.xxhash64("mark")).alias("some"),
+                F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("more"),
+            )
             .where("one <> other")
+            .groupBy("n", "some", "more")
+            .agg(F.min("sign").alias("sign"))
             .select("sign"),
             "jaccard-open",
         )
@@ -515,13 +557,15 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
             ),
             "jaccard-still",
         )
-        hubs = still.where(F.col("place") <= hubs_at_once).select(
-            "sign", F.col("mark").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component")
+        sketched = still.join(sets.select("mark", *WORDS), "mark")
+        hubs = sketched.where(F.col("place") <= hubs_at_once).select(
+            "sign",
+            *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", *WORDS)],
         )
         pairs = stored(
-            still.join(hubs, "sign")
-            .where((F.col("mark") > F.col("hub")) & (F.col("component") != F.col("hub_component")) & like)
-            .select(F.col("hub").alias("low"), F.col("mark").alias("high"))
+            sketched.join(hubs, "sign")
+            .where((F.col("mark") > F.col("hub_mark")) & (F.col("component") != F.col("hub_component")) & like & near)
+            .select(F.col("hub_mark").alias("low"), F.col("mark").alias("high"))
             .distinct()
             .join(tried, ["low", "high"], "left_anti"),
             "jaccard-pairs",
