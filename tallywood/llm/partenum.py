@@ -30,6 +30,8 @@ FAMILIES, BLOCK_SHINGLES, SPARE = 6, 1_000_000, 0.08
 MARK_BITS = 25
 SKETCH_BITS = 10
 SKETCH = (1 << SKETCH_BITS) // 64
+# Sets of each group compared with the rest of it in the first round; each later round takes so many times more.
+HUBS = 16
 WORDS = [f"w{i}" for i in range(SKETCH)]
 # Shingles in so many of so many sampled texts are common.
 SAMPLE, COMMON = 10_000, 5
@@ -448,8 +450,8 @@ def jaccard_components(
     more than one.  Then each set is compared with one other, of the sets that
     come first in its groups (the sets with one signature) that which it shares
     most groups with, and the links so far become components.  Groups whose
-    sets lie in one component are done.  Of the others, the first 4, then the
-    next 16, 64, ... sets are compared with those of other components; a sketch
+    sets lie in one component are done.  Of the others, the first 16, then
+    the next 256, ... sets are compared with those of other components; a sketch
     of 1,024 parities, in which sets never differ more than in their shingles,
     rules out most pairs before sets are sent.  So every link is found or lies
     within a component already, while a large group of near copies costs about
@@ -524,7 +526,7 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
     sets = sets_of(source, stored(left.select("mark").distinct(), "jaccard-used"), size)
     links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
     tried = pairs
-    hubs_at_once = 4
+    hubs_at_once = HUBS
     labels = components(links)
     while True:
         placed = stored(
@@ -576,7 +578,7 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
             stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
             labels = components(stars.union(links))
         left = still.where(F.col("place") > hubs_at_once).select(*members.columns)
-        hubs_at_once *= 4
+        hubs_at_once *= HUBS
 
 
 def op7_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
