@@ -267,6 +267,18 @@ def test_similarity_join(docs, rows):
     assert Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect()) == want
 
 
+def test_sketches_never_differ_more_than_sets():
+    draw = np.random.default_rng(4)
+    for size, other in ((0, 3), (5, 5), (40, 60), (700, 900), (5000, 100)):
+        shared = draw.integers(0, 1 << 63, 50, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([shared, draw.integers(0, 1 << 63, n, dtype=np.uint64)])) for n in (size, other)]
+        rows = np.repeat([0, 1], [len(s) for s in sets])
+        one, two = partenum.sketches(rows, np.concatenate(sets), 2)
+        assert sum(int(x).bit_count() for x in (one ^ two).view(np.uint64)) <= len(np.setxor1d(*sets))
+    same = partenum.sketches(np.repeat([0, 1], len(shared)), np.concatenate([shared, shared]), 2)
+    assert (same[0] == same[1]).all()
+
+
 def test_line_runs(spark):
     run = "\n".join(f"line {i} of the run that is copied" for i in range(9))
     made = [(1, f"start\n{run}\nend"), (2, f"other\n\n{run}"), (3, None), (4, "short\nshort"), (5, run), (5, run)]
