@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the local threads.
-Every query runs once to warm up and is then timed to its last row.  Three log
+Every query runs once to warm up and is then timed to its last row.  Six log
 queries are also timed on plain text, ``TEXT_COPIES`` lines per event written
 to a folder of its own, since the published baseline counts text lines.
 """
@@ -49,7 +49,14 @@ HEADLINE = (
 )
 
 
-TEXT_QUERIES = ("level_counts", "app_timeline", "file_profile")
+TEXT_QUERIES = (
+    "level_counts",
+    "app_timeline",
+    "file_profile",
+    "app_task_times",
+    "cached_bytes",
+    "multiline_records",
+)
 TEXT_COPIES = 50
 
 

@@ -57,6 +57,7 @@ def text_queries(spark: SparkSession, folder: str) -> dict[str, Callable[[], Dat
         "component_counts": lambda: appstats.component_counts(lines),
         "requested_resources": lambda: appstats.requested_resources(lines),
         "app_task_times": lambda: appstats.app_task_times(appstats.task_times(lines)),
+        "cached_bytes": lambda: appstats.cached_bytes(lines),
         "multiline_records": lambda: records.multiline_records(
             read_positioned_log_lines(spark, path)
         ),
