@@ -241,6 +241,27 @@ def test_language_model(docs, rows):
         assert r["score"] == pytest.approx(total)
 
 
+@pytest.mark.parametrize("rare", [1, 30, 200])
+def test_language_model_with_rare_contexts(docs, monkeypatch, rare):
+    """What is sent to every task, down to no word at all, changes no result: every word is a context."""
+    source = docs.select("doc_id", "text", (F.col("n_chars") + F.length("text") % 2).cast("bigint").alias("role")).na.fill(1)
+
+    def fitted():
+        model = lm.count_words(source, 3)
+        lm.learn_weights(source, model, 3)
+        return model, sorted(as_dicts(lm.score_tokens(source, model, 3)), key=str), sorted(as_dicts(lm.score_texts(docs, parts=3)), key=str)
+
+    plain, *want = fitted()
+    monkeypatch.setattr(lm, "RARE", rare)
+    model, *found = fitted()
+    assert len(model.words) < len(plain.words) / 4 and len(model.pairs) < len(plain.pairs) / 4
+    assert np.allclose(model.weights, plain.weights)
+    for rows_found, rows_wanted in zip(found, want):
+        assert len(rows_found) == len(rows_wanted)
+        for f, w in zip(sorted(rows_found, key=lambda r: (str(r["doc_id"]), r["score"])), sorted(rows_wanted, key=lambda r: (str(r["doc_id"]), r["score"]))):
+            assert f == pytest.approx(w, nan_ok=True)
+
+
 def test_similarity_join(docs, rows):
     sets = []
     for r in rows:
