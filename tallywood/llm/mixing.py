@@ -76,8 +76,11 @@ def schedule(targets: DataFrame, slots: int, block: int) -> DataFrame:
     line from 0 to 1 evenly at every length, and belongs to the source whose
     part it hits.  Its rank among the slots of that source says which block it
     takes: the source's blocks in turn, then again from the first.  The last
-    slot of a source ends at its target.  Slots meet sources by cells of the
-    line, not by comparing all with all.
+    slot of a source ends at its target.  A source whose part is hit too seldom
+    for its target, as of less than a few blocks, takes the blocks it lacks in
+    slots behind the others, one a slot; sources share those slots.  So what a
+    source takes is its target without the fraction.  Slots meet sources by
+    cells of the line, not by comparing all with all.
     """
     spark = targets.sparkSession
     point = ((F.col("id") + 1) * F.lit(GOLDEN)) % F.lit(FULL_TURN) / F.lit(float(FULL_TURN))
@@ -99,11 +102,23 @@ def schedule(targets: DataFrame, slots: int, block: int) -> DataFrame:
         ).alias("cell"),
     )
     dealt = points.join(parts, "cell").where("point >= lo and point < hi").drop("cell", "lo", "hi", "point")
-    ranked = running_totals(dealt, ["source_key"], "chunk", ["slot"], {"rank": "one"})
+    columns = ["source_key", "source_size", "target", "slot", "rank"]
+    ranked = running_totals(dealt, ["source_key"], "chunk", ["slot"], {"rank": "one"}).select(*columns)
     blocks = F.ceil(F.col("source_size") / F.lit(block))
+    whole = F.floor("target")
+    needed = F.floor(whole / F.col("source_size")) * blocks + F.ceil(whole % F.col("source_size") / F.lit(block))
+    lacking = (
+        targets.where("source_size > 0")
+        .join(dealt.groupBy("source_key").agg(F.sum("one").alias("hits")), "source_key", "left")
+        .withColumns({"hits": F.coalesce("hits", F.lit(0).cast("bigint")), "needed": needed})
+        .where("needed > hits")
+        .withColumn("rank", F.explode(F.sequence(F.col("hits"), F.col("needed") - 1)))
+        .withColumn("slot", F.col("rank") - F.col("hits") + slots)
+        .select(*columns)
+    )
     start = F.col("block_number") * F.lit(block)
     return (
-        ranked.withColumns({"round": F.floor(F.col("rank") / blocks), "block_number": F.col("rank") % blocks})
+        ranked.union(lacking).withColumns({"round": F.floor(F.col("rank") / blocks), "block_number": F.col("rank") % blocks})
         .withColumn(
             "take",
             F.least(
@@ -138,8 +153,8 @@ def mix_sources(
     that the slots took, repeats included.  ``slots`` sets how fine the mixture
     is at any input size: a block is ``share`` of all words over ``slots``.
 
-    A source misses its target by a few blocks at most, and no document is
-    taken more than ``most`` times (rounded up).  A NULL text has no words; NULL sources are one
+    A source takes its target without the fraction, and no document is taken
+    more than ``most`` times (rounded up).  A NULL text has no words; NULL sources are one
     source, the last.  A document without words has taken 0.  Equal rows count
     each.  No rows give no rows.  Other columns are not read.
     """

@@ -130,6 +130,22 @@ def test_mix(docs, rows):
         assert abs(taken[source] - target) <= 4 * 8
 
 
+def test_mix_of_small_sources(spark):
+    """Sources from a fifth of a block to five blocks beside large ones take their targets, at few slots."""
+    sizes = {f"big{i}": 20_000 for i in range(3)} | {f"s{i:02}": max(1, int(360 * f)) for i, f in enumerate([0.2, 0.5, 0.9, 1.1, 1.5, 2, 2.3, 3, 4, 5] * 2)}
+    made = [(i, " ".join(["w"] * n), s) for i, (s, size) in enumerate(sizes.items()) for n in [7] * (size // 7) + [size % 7]]
+    small = spark.createDataFrame(made, "doc_id bigint, text string, source string")
+    for slots in (64, 256, 1024):
+        taken, targets = Counter(), {}
+        for r in as_dicts(mixing.mix_sources(small, slots=slots, rows_per_piece=500)):
+            taken[r["source"]] += r["taken"]
+            targets[r["source"]] = r["target"]
+            assert r["taken"] <= 2 * r["size"]
+        assert targets.keys() == sizes.keys()
+        for source, target in targets.items():
+            assert abs(taken[source] - target) <= max(1, 0.01 * target)
+
+
 def test_packing(docs, rows):
     found = as_dicts(packing.pack_buckets(docs, buckets=4, budget=300, rows_per_piece=10))
     assert len(found) == len(rows)
