@@ -13,6 +13,7 @@ from tallywood.llm.lm import op6_interpolation
 from tallywood.llm.mixing import op10_mix_sources
 from tallywood.llm.packing import op1_length_buckets
 from tallywood.llm.partenum import op7_partenum_join
+from tallywood.llm.periodic import op11_periodic_runs
 from tallywood.llm.quality import op8_quality_rules
 from tallywood.llm.sharding import op3_byte_shards
 from tallywood.llm.warc import OP2_SQL, op2_warc_segments
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_exact_copies": op9_exact_copies,
     "op10_mix_sources": op10_mix_sources,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_segments": OP2_SQL,
