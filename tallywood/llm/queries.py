@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywood.llm.collocations import OP13_SQL, op13_collocations
 from tallywood.llm.exact_dedup import OP9_SQL, op9_exact_copies
 from tallywood.llm.langid import op4_byte_network
 from tallywood.llm.linededup import OP5_SQL, op5_line_runs
@@ -30,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_copies": op9_exact_copies,
     "op10_mix_sources": op10_mix_sources,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_segments": OP2_SQL,
     "op5_line_runs": OP5_SQL,
     "op9_exact_copies": OP9_SQL,
+    "op13_collocations": OP13_SQL,
 }
