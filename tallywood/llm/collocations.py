@@ -27,7 +27,7 @@ IS_CUT = np.zeros(256, dtype=bool)
 IS_CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 IS_GAP = IS_CUT.copy()
 IS_GAP[[0x20, 0x09]] = True
-TABLE_BITS = 1 << 26
+TABLE_BITS, MARK_BITS = 1 << 26, 48
 COUNTED = "lang string, phrase string, mark bigint, n bigint"
 
 
@@ -48,12 +48,14 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarra
     return strings.cast(pa.string())
 
 
-def counted(docs: DataFrame, order: int, table: np.ndarray | None) -> DataFrame:
-    """``lang, phrase, mark, f`` of phrases of ``order`` words; ``phrase`` NULL: all words of a language.
+def counted(docs: DataFrame, order: int, table: np.ndarray | None, ahead: int) -> DataFrame:
+    """``lang, phrase, mark, f`` of phrases of ``order`` words, and ``mark, f`` of those of ``ahead`` words.
 
-    ``table`` tells by the marks of phrases one word shorter which may be
-    frequent; phrases with another beginning or end are not counted.  ``mark``
-    stands for language and phrase.
+    ``table`` tells by marks which phrases of ``ahead - 1`` words may be
+    frequent: of ``order`` words (the same number, or 0 for none) only those
+    are counted, of ``ahead`` words those that begin and end with one, without
+    spelling them out.  Without a table all words are counted and those of each
+    language, with a NULL ``phrase``.  ``mark`` stands for language and phrase.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,33 +76,40 @@ def counted(docs: DataFrame, order: int, table: np.ndarray | None) -> DataFrame:
 
                 def marks(size: int) -> tuple[np.ndarray, np.ndarray]:
                     at, hashes = windows(words, size)
-                    return at, (mix(hashes ^ salts[of[at]]) >> U(1)).astype(np.int64)
-
-                at, own = marks(order)
-                if table is not None:
-                    inside, shorter = marks(order - 1)
-                    place = shorter % TABLE_BITS
+                    return at, mix(hashes ^ salts[of[at]])
+
+                def rows_of(at: np.ndarray, own: np.ndarray, spelled: bool) -> tuple:
+                    own, first, n = np.unique(own, return_index=True, return_counts=True)
+                    at = at[first]
+                    langs, phrases = names.take(pa.array(of[at])), pa.nulls(len(at), pa.string())
+                    if spelled:
+                        phrases = joined(data, starts, ends, at, order)
+                    else:
+                        langs = pa.nulls(len(at), pa.string())
+                    return langs, phrases, (own >> U(64 - MARK_BITS)).astype(np.int64), n
+
+                if table is None:
+                    yield batch_of(*rows_of(*marks(order), spelled=True))
+                    yield batch_of(names, pa.nulls(len(names), pa.string()), None, np.bincount(of, minlength=len(names)))
+                    continue
+                at, own = marks(ahead - 1)
+                place = (own >> U(64 - MARK_BITS)).astype(np.int64) % TABLE_BITS
+                hit = ((table[place // 63] >> (place % 63)) & 1).astype(bool)
+                if order:
+                    yield batch_of(*rows_of(at[hit], own[hit], spelled=True))
+                if ahead <= LONGEST:
                     may = np.zeros(len(starts), dtype=bool)
-                    may[inside] = (table[place // 63] >> (place % 63)) & 1
+                    may[at[hit]] = True
+                    at, own = marks(ahead)
                     keep = may[at] & may[at + 1]
-                    at, own = at[keep], own[keep]
-                own, first, n = np.unique(own, return_index=True, return_counts=True)
-                at = at[first]
-                phrases = joined(data, starts, ends, at, order)
-                langs = names.take(pa.array(of[at]))
-                if order == 1:
-                    total = np.bincount(of, minlength=len(names))
-                    langs, phrases = pa.concat_arrays([langs, names]), pa.concat_arrays([phrases, pa.nulls(len(names), pa.string())])
-                    own, n = np.concatenate([own, np.zeros(len(names), dtype=np.int64)]), np.concatenate([n, total])
-                yield pa.RecordBatch.from_arrays(
-                    [langs, phrases, pa.array(own, pa.int64()), pa.array(n, pa.int64())], names=["lang", "phrase", "mark", "n"]
-                )
+                    yield batch_of(*rows_of(at[keep], own[keep], spelled=False))
 
-    return (
-        docs.mapInArrow(count, COUNTED)
-        .groupBy("lang", "phrase")
-        .agg(F.first("mark").alias("mark"), F.sum("n").alias("f"))
-    )
+    return docs.mapInArrow(count, COUNTED).groupBy("lang", "phrase", "mark").agg(F.sum("n").alias("f"))
+
+
+def batch_of(langs: pa.Array, phrases: pa.Array, marks: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    numbers = pa.nulls(len(n), pa.int64()) if marks is None else pa.array(marks, pa.int64())
+    return pa.RecordBatch.from_arrays([langs, phrases, numbers, pa.array(n, pa.int64())], names=["lang", "phrase", "mark", "n"])
 
 
 def bit_table(marks: DataFrame) -> np.ndarray:
@@ -210,29 +219,33 @@ def collocations(
     of its count.  That needs one word more at most: anything longer contains
     such a one, which is found no less often.  ``top`` None gives all.
 
-    Phrases are counted order by order; a phrase is only counted where the two
-    phrases one word shorter in it may be frequent, by a table of 2**26 bits.
-    It never rules out a frequent phrase; with more than some ten million
-    frequent phrases it lets others pass, which costs shuffling, not results.
-    The stream of all frequent phrases is then sorted twice, and each time
-    read in lockstep.  Nothing is told apart by hash but equal words and
-    phrases within a task, by 63 bits.
+    Phrases are counted order by order, first by marks of 48 bits; only those
+    whose marks are frequent are spelled out and counted, in the scan that marks
+    the phrases one word longer which begin and end with such a one.  Scans know
+    frequent marks by a table of 2**26 bits.  Marks and table never rule out a
+    frequent phrase; with more than some ten million of them the table lets
+    others pass, which costs shuffling, not results.  The stream of all
+    frequent phrases is then sorted twice, and each time read in lockstep.
+    Equal words and phrases of a slice of a task are found by 64-bit hashes.
 
     NULL or empty texts have no words; a NULL language is ``und``; repeated
     rows count again; ties are ordered by phrase, in order of its UTF-8 bytes.
     No rows give no rows.  Other columns are not read.
     """
     source = docs.select(F.col(text_column).alias("text"), F.coalesce(F.col(lang_column), F.lit("und")).alias("lang"))
-    orders, table, totals = [], None, None
-    for order in range(1, LONGEST + 1):
-        of_order = stored(
-            counted(source, order, table).where(F.col("phrase").isNull() | (F.col("f") >= least)), "collocation-counts"
-        )
-        if order == 1:
-            totals = of_order.where("phrase is null").select("lang", F.col("f").alias("n"))
-        orders.append(of_order.where("phrase is not null"))
-        if order < LONGEST:
-            table = bit_table(orders[-1])
+    frequent = F.col("f") >= least
+
+    def counts(order: int, table: np.ndarray | None, ahead: int) -> DataFrame:
+        return stored(counted(source, order, table, ahead).where(F.col("mark").isNull() | frequent), "collocation-counts")
+
+    words = counts(1, None, 0)
+    totals = words.where("mark is null").select("lang", F.col("f").alias("n"))
+    orders = [words.where("mark is not null")]
+    found = counts(0, bit_table(orders[0]), 2)
+    for order in range(2, LONGEST + 1):
+        found = counts(order, bit_table(found.where("phrase is null")), order + 1)
+        # A phrase may share its mark with a frequent one.
+        orders.append(found.where("phrase is not null"))
     stream = reduce(DataFrame.union, orders).select(
         "lang", F.split("phrase", " ").alias("key"), "f", F.lit(None).cast("array<bigint>").alias("carried")
     )
