@@ -12,6 +12,7 @@ from tallywood.llm.langid import op4_byte_network
 from tallywood.llm.linededup import OP5_SQL, op5_line_runs
 from tallywood.llm.lm import op6_interpolation
 from tallywood.llm.mixing import op10_mix_sources
+from tallywood.llm.oddsketch import op12_odd_sketches
 from tallywood.llm.packing import op1_length_buckets
 from tallywood.llm.partenum import op7_partenum_join
 from tallywood.llm.periodic import op11_periodic_runs
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_copies": op9_exact_copies,
     "op10_mix_sources": op10_mix_sources,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_odd_sketches": op12_odd_sketches,
     "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
