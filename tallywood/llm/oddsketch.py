@@ -26,9 +26,11 @@ BANDS, ROWS = 56, 5
 SAMPLES, BITS, SIGMAS = 560, 1024, 5.5
 HUBS, MORE = 16, 16  # sets of a band compared with all others of it in the first round; so many times more in each next
 TABLE_BITS = 1 << 25
+PASSES = 4  # comparisons of each set with one other before all candidates are compared
 WORDS = [f"w{i}" for i in range(BITS // 64)]
+FULL = [f"v{i}" for i in range(BITS // 64)]
 FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=U)) | U(1)
-SAMPLED = ", ".join(["doc_id bigint, mark bigint, size bigint, signs array<bigint>", *[f"{w} bigint" for w in WORDS]])
+SAMPLED = ", ".join(["doc_id bigint, mark bigint, size bigint, signs array<bigint>", *[f"{w} bigint" for w in WORDS + FULL]])
 
 
 def set_marks(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
@@ -67,6 +69,14 @@ def odd_sketches(least: np.ndarray) -> np.ndarray:
     return words.view(np.int64)
 
 
+def full_sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """The same of whole sets: the XOR of two never has more one bits than shingles that only one set has."""
+    words = np.zeros(n * len(FULL), dtype=U)
+    place = mix(hashes + U(1)) >> U(64 - (BITS - 1).bit_length())
+    np.bitwise_xor.at(words, rows * len(FULL) + (place >> U(6)).astype(np.int64), U(1) << (place & U(63)))
+    return words.reshape(n, len(FULL)).view(np.int64)
+
+
 def most_apart(least: int) -> int:
     """One bits in the XOR of two sketches that sets as similar as ``least`` percent do not pass.
 
@@ -85,10 +95,10 @@ def sampled(docs: DataFrame, size: int) -> DataFrame:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
-        names = ["doc_id", "mark", "size", "signs", *WORDS]
+        names = ["doc_id", "mark", "size", "signs", *WORDS, *FULL]
         for ids, rows, hashes, sizes, _ in _blocks(batches, size):
             marks, n = set_marks(rows, hashes, len(sizes)), len(sizes)
-            none = [pa.nulls(n, kind), *[pa.nulls(n, pa.int64())] * len(WORDS)]
+            none = [pa.nulls(n, kind), *[pa.nulls(n, pa.int64())] * len(WORDS + FULL)]
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(marks), pa.array(sizes, pa.int64()), *none], names=names)
             new = np.zeros(n, dtype=bool)
             new[np.unique(marks, return_index=True)[1]] = True
@@ -96,8 +106,10 @@ def sampled(docs: DataFrame, size: int) -> DataFrame:
             if not new.any():
                 continue
             firsts = np.cumsum(np.concatenate([[0], sizes[new]]))[:-1]
-            least = samples(hashes[new[rows]], firsts)
-            signs, words, m = band_signs(least), odd_sketches(least), int(new.sum())
+            of_set = new[rows]
+            least, m = samples(hashes[of_set], firsts), int(new.sum())
+            whole = full_sketches((np.cumsum(new) - 1)[rows[of_set]], hashes[of_set], m)
+            signs, words = band_signs(least), np.hstack([odd_sketches(least), whole])
             lists = pa.ListArray.from_arrays(np.arange(0, (m + 1) * BANDS, BANDS, dtype=np.int32), signs.ravel())
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(m, pa.int64()), pa.array(marks[new]), pa.array(sizes[new], pa.int64()), lists, *[pa.array(w) for w in words.T]],
@@ -140,8 +152,8 @@ def full_sets(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
     return stored(found.dropDuplicates(["mark"]), "odd-sets")
 
 
-def _apart() -> Column:
-    return sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"hub_{w}"))) for w in WORDS), F.lit(0))
+def _apart(words: list[str]) -> Column:
+    return sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"hub_{w}"))) for w in words), F.lit(0))
 
 
 def near_copies(
@@ -160,17 +172,19 @@ def near_copies(
     smallest id that links and equal sets lead to, and that document is kept.
 
     Equal sets are one from the start.  560 MinHash samples are taken of each
-    set; 280 of them make 56 bands, and all of them an odd sketch.  Sets that
-    agree in a band are candidates.  First each set is compared with one other,
-    of the sets that come first in its bands that which it shares most bands
-    with.  Bands whose sets lie in one component by then are done.  In the
-    others some 16 sets, then 256, ... in an order given by hashes, are
-    compared with all sets after them in the order that lie in other
-    components; pairs that no sketch rules out are compared in full.  So no
-    candidate is dropped, and a large group of copies costs about one
-    comparison for each set.  A group of sets that are nearly, but not quite
-    similar enough costs up to a sketch comparison for each pair of it in a
-    band, spread over tasks by Spark's handling of skewed joins.
+    set; 280 of them make 56 bands, and all of them an odd sketch; a second one
+    is of the whole set, exact but for few collisions where sets are small.
+    Sets that agree in a band are candidates.  In a few passes each set is
+    compared with one other: of the sets that are first in its bands (by
+    another hash each pass) that which it shares most bands with.  Bands whose
+    sets lie in one component are done.  In the others some 16 sets, then 256,
+    ... in an order given by hashes, are compared with all sets after them in
+    the order that lie in other components: of the pairs that no sketch rules
+    out the closest of each set first, then all that are still in different
+    components.  So no candidate is dropped, and a large group of copies costs
+    a few comparisons for each set.  A group of sets that are nearly, but not
+    quite similar enough costs up to a sketch comparison for each pair of it in
+    a band, spread over tasks by Spark's handling of skewed joins.
 
     Samples are random: two sets that link share no band, or are ruled out by
     their sketches, with a chance below 1e-7 each; larger similarities do so
@@ -194,7 +208,7 @@ def near_copies(
         "odd-bands",
     )
     shared = stored(members.join(bands, "sign").select("sign", "mark", "size", "hub", "n"), "odd-shared")
-    labels = _labels(source, sets.select("mark", *WORDS), shared, size, least)
+    labels = _labels(source, sets.select("mark", *WORDS, *FULL), shared, size, least)
     named = stored(
         documents.join(labels.withColumnRenamed("node", "mark"), "mark", "left").select(
             "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "mark")).alias("component")
@@ -212,34 +226,48 @@ def near_copies(
     )
 
 
-def _first_pairs(shared: DataFrame) -> DataFrame:
-    """``low, high``: each set and that first one of its bands which it shares most bands with."""
+def _best_hubs(candidates: DataFrame) -> DataFrame:
+    """``low, high``: each ``mark`` and that ``hub`` which it shares most bands with."""
     return (
-        shared.where("mark > hub")
-        .groupBy("mark", "hub")
+        candidates.groupBy("mark", "hub")
         .agg(F.count("*").alias("n"))
-        .groupBy(F.col("mark").alias("high"))
-        .agg(F.max_by("hub", F.struct("n", "hub")).alias("low"))
-        .select("low", "high")
+        .groupBy("mark")
+        .agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+        .select(F.least("mark", "hub").alias("low"), F.greatest("mark", "hub").alias("high"))
+        .distinct()
     )
 
 
+def _component(frame: DataFrame, labels: DataFrame, mark: str, name: str) -> DataFrame:
+    """``frame`` plus the component of ``mark``; a set without links is its own."""
+    named = labels.select(F.col("node").alias(mark), F.col("component").alias(name))
+    return frame.join(named, mark, "left").withColumn(name, F.coalesce(name, mark))
+
+
 def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int, least: int) -> DataFrame:
     """``node, component`` of all linked sets, see :func:`near_copies`."""
-    pairs = stored(_first_pairs(shared), "odd-pairs")
     sets = full_sets(source, stored(shared.select("mark").distinct(), "odd-used"), size)
-    links = stored(linked(pairs, sets, least).select("high", "low"), "odd-links")
-    tried, labels, hubs_at_once = pairs, components(links), HUBS
-    left = shared.select("sign", "mark", "size", "n")
-    turn = F.shiftrightunsigned(F.xxhash64("mark", "sign"), 11) / F.lit(float(1 << 53))
     like = F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * least
+    near = (_apart(WORDS) <= most_apart(least)) & (
+        _apart(FULL) * (100 + least) <= (F.col("size") + F.col("hub_size")) * (100 - least)
+    )
+    turn = F.shiftrightunsigned(F.xxhash64("mark", "sign"), 11) / F.lit(float(1 << 53))
+
+    def extended(labels: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """``labels`` with the links among ``pairs``."""
+        links = stored(linked(pairs, sets, least).select("high", "low"), "odd-links")
+        if labels is None:
+            return components(links)
+        if links.isEmpty():
+            return labels
+        stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
+        return components(stars.union(links))
+
+    tried = stored(_best_hubs(shared.where("mark > hub")), "odd-pairs")
+    labels, passes, hubs_at_once = extended(None, tried), 1, HUBS
+    left = shared.select("sign", "mark", "size", "n")
     while True:
-        placed = stored(
-            left.join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
-                "component", F.coalesce("component", "mark")
-            ),
-            "odd-placed",
-        )
+        placed = stored(_component(left, labels, "mark", "component"), "odd-placed")
         # Of bands with the same sets one is enough.
         opened = stored(
             placed.groupBy("sign")
@@ -249,35 +277,52 @@ def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int
                 F.count("*").alias("members"),
                 F.bit_xor(F.xxhash64("mark")).alias("some"),
                 F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("more"),
+                F.min(F.struct(F.xxhash64("mark", F.lit(passes)).alias("h"), "mark", "size", "component")).alias("hub"),
             )
             .where("one <> other")
             .groupBy("members", "some", "more")
-            .agg(F.min("sign").alias("sign"))
-            .select("sign"),
+            .agg(F.min_by(F.struct("sign", "hub"), "sign").alias("band"))
+            .select("band.sign", F.col("band.hub.mark").alias("hub"), F.col("band.hub.size").alias("hub_size"), F.col("band.hub.component").alias("hub_component")),
             "odd-open",
         )
         if opened.isEmpty():
             return labels
-        still = stored(placed.join(opened, "sign", "left_semi").withColumn("turn", turn), "odd-still")
+        if passes < PASSES:
+            apart = placed.join(opened, "sign").where((F.col("component") != F.col("hub_component")) & like)
+            pairs = stored(_best_hubs(apart).join(tried, ["low", "high"], "left_anti"), "odd-pairs")
+            tried = stored(tried.union(pairs), "odd-tried")
+            labels, passes = extended(labels, pairs), passes + 1
+            continue
+        still = stored(placed.join(opened.select("sign"), "sign", "left_semi").withColumn("turn", turn), "odd-still")
         sketched = still.join(sketches, "mark")
         is_hub = F.col("turn") * F.col("n") < hubs_at_once
         hubs = sketched.where(is_hub).select(
-            "sign", *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", "turn", *WORDS)]
+            "sign", *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", "turn", *WORDS, *FULL)]
         )
         after = F.struct("turn", "mark") > F.struct("hub_turn", "hub_mark")
         pairs = stored(
             sketched.join(hubs, "sign")
-            .where(after & (F.col("component") != F.col("hub_component")) & like & (_apart() <= most_apart(least)))
-            .select(F.least("mark", "hub_mark").alias("low"), F.greatest("mark", "hub_mark").alias("high"))
+            .where(after & (F.col("component") != F.col("hub_component")) & like & near)
+            .select(
+                "mark",
+                F.least("mark", "hub_mark").alias("low"),
+                F.greatest("mark", "hub_mark").alias("high"),
+                (_apart(FULL) / (F.col("size") + F.col("hub_size"))).alias("apart"),
+            )
             .distinct()
             .join(tried, ["low", "high"], "left_anti"),
             "odd-pairs",
         )
-        tried = stored(tried.union(pairs), "odd-tried")
-        links = stored(linked(pairs, sets, least).select("high", "low"), "odd-links")
-        if not links.isEmpty():
-            stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
-            labels = components(stars.union(links))
+        closest = stored(
+            pairs.groupBy("mark").agg(F.min_by(F.struct("low", "high"), "apart").alias("pair")).select("pair.*").distinct(),
+            "odd-closest",
+        )
+        labels = extended(labels, closest)
+        rest = pairs.select("low", "high").distinct().join(closest, ["low", "high"], "left_anti")
+        rest = _component(_component(rest, labels, "low", "one"), labels, "high", "other").where("one <> other")
+        rest = stored(rest.select("low", "high"), "odd-rest")
+        labels = extended(labels, rest)
+        tried = stored(tried.union(closest).union(rest), "odd-tried")
         left = still.where(~is_hub).select(*left.columns)
         hubs_at_once *= MORE
 

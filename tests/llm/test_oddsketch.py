@@ -92,8 +92,9 @@ def test_rounds_alone_find_all_links(spark, rows, monkeypatch):
     """Few sets a time, and no first comparison."""
     monkeypatch.setattr(oddsketch, "HUBS", 1)
     monkeypatch.setattr(oddsketch, "MORE", 6)
-    first = oddsketch._first_pairs
-    monkeypatch.setattr(oddsketch, "_first_pairs", lambda shared: first(shared).where("false"))
+    monkeypatch.setattr(oddsketch, "PASSES", 1)
+    best = oddsketch._best_hubs
+    monkeypatch.setattr(oddsketch, "_best_hubs", lambda candidates: best(candidates).where("false"))
     assert as_rows(near_copies(spark.createDataFrame(rows, SHAPE))) == plain(rows)
 
 
@@ -117,6 +118,16 @@ def test_sketches_estimate_similarity_and_keep_links():
             assert abs(1 - differ / oddsketch.SAMPLES - both / n) < 0.02
 
 
+def test_full_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(6)
+    for n in (3, 50, 3000):
+        pool = mix(rng.integers(0, 2**62, 2 * n).astype(np.uint64))
+        one, other = pool[:n], pool[n // 3 : n + n // 3]
+        rows = np.repeat([0, 1], [len(one), len(other)])
+        a, b = oddsketch.full_sketches(rows, np.concatenate([one, other]), 2)
+        assert sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= len(np.setxor1d(one, other))
+
+
 def test_empty_table(spark):
     assert near_copies(spark.createDataFrame([], SHAPE)).count() == 0
 
