@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from tallywood.functions import patterns as P
 from tallywood.functions.text import matched
-from tallywood.operators import appstats, levels, records, usage
+from tallywood.operators import appstats, levels, messages, usage
 from tallywood.operators.parsing import profile_files
+from tallywood.plans import jobs
 from tallywood.sources.event_log import log_lines_from_events
 from tallywood.sources.log_files import read_log_lines, read_positioned_log_lines
 
@@ -58,12 +59,16 @@ def text_queries(spark: SparkSession, folder: str) -> dict[str, Callable[[], Dat
         "requested_resources": lambda: appstats.requested_resources(lines),
         "app_task_times": lambda: appstats.app_task_times(appstats.task_times(lines)),
         "cached_bytes": lambda: appstats.cached_bytes(lines),
-        "multiline_records": lambda: records.multiline_records(
-            read_positioned_log_lines(spark, path)
-        ),
+        "multiline_records": lambda: stored_records(spark, path, f"{folder}-records"),
+        "all_messages": lambda: messages.all_messages(lines),
     }
 
 
+def stored_records(spark: SparkSession, path: str, out: str) -> DataFrame:
+    jobs.store_records(read_positioned_log_lines(spark, path), out)
+    return jobs.read_records(spark, out)
+
+
 def timed(build: Callable[[], DataFrame]) -> float:
     """Seconds to build a result and produce its last row."""
     start = time.perf_counter()

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywood.functions import patterns as P
 from tallywood.functions.text import starts_with_stamp
 
 #: Most lines of one row of :func:`multiline_records`.
 LINES_PER_PART = 10_000
+#: Most pieces of files whose places are sent to every task, at some 30 bytes each.
+PIECES_TO_SEND = 1_000_000
+PIECES = (
+    "kind string, piece bigint, file_path string, block bigint, at bigint, part bigint, line bigint,"
+    " num_lines bigint, text string, edge string"
+)
 
 
 def _blocks(numbered: DataFrame) -> DataFrame:
@@ -130,3 +142,144 @@ def multiline_records(lines: DataFrame, lines_per_part: int = LINES_PER_PART) ->
         F.size("content").cast("bigint").alias("num_lines"),
         F.array_join(F.col("content.value"), "\n").alias("text"),
     )
+
+
+def record_pieces(lines: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """What each piece of a scan knows of its records, from one reading: store it for :func:`whole_records`.
+
+    ``lines`` comes from ``read_positioned_log_lines`` with nothing but plain
+    projections since: a task then reads each piece of a file from front to
+    back, and records are put together where their lines are.  No line moves.
+
+    Rows have ``kind, piece, file_path, block, at, part, line, num_lines, text, edge``,
+    with line numbers counted from 1 within the piece and the text of a head
+    or tail as ``edge``, so that reading those reads little.  ``inside``: a part of
+    the record that begins ``at``, from ``line`` on.  ``tail``: the last part of
+    the piece's last record, which may go on in the next piece.  ``head``:
+    lines above the piece's first stamp, at most ``lines_per_part``.  ``size``:
+    all lines of the piece, and ``at`` its last stamp (0: none).  ``piece`` is
+    a 64-bit hash of file and block.
+    """
+    return lines.select(
+        "value", F.xxhash64("file_path", "block").alias("piece"), "file_path", F.col("block").cast("bigint").alias("block")
+    ).mapInArrow(
+        _piece_rows(lines_per_part), PIECES
+    )
+
+
+def _piece_rows(lines_per_part: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """See :func:`record_pieces`; a task holds the lines of one part besides a batch."""
+    names = [f.split()[0] for f in PIECES.split(", ")]
+
+    def rows(where: tuple, heads: np.ndarray, kind: str, text: pa.Array | None, *numbers: np.ndarray) -> pa.RecordBatch:
+        """``heads`` says which rows are of that kind, others of ``kind``."""
+        n = len(heads)
+        kinds = pc.if_else(pa.array(heads), "head", kind)
+        same = [pa.repeat(pa.scalar(w, t), n) for w, t in zip(where, (pa.int64(), pa.string(), pa.int64()))]
+        found = [pa.array(np.asarray(c, dtype=np.int64)) for c in numbers]
+        none = pa.nulls(n, pa.string())
+        edges = heads | (kind == "tail")
+        if text is None or edges.all():
+            texts = [none, none if text is None else text]
+        elif not edges.any():
+            texts = [text, none]
+        else:
+            texts = [pc.if_else(pa.array(edges), none, text), pc.if_else(pa.array(edges), text, none)]
+        return pa.RecordBatch.from_arrays([kinds, *same, *found, *texts], names=names)
+
+    def joined(values: pa.Array, firsts: np.ndarray) -> pa.Array:
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), values), "\n")
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, line, at = None, 0, 0
+        held: list[pa.Array] = []
+        key = (0, 0, 0)  # of the held lines: at, part, line
+
+        def flushed(last: bool) -> pa.RecordBatch:
+            values = pa.concat_arrays(held)
+            open_end = last and len(values) < lines_per_part
+            text = joined(values, np.array([0, len(values)]))
+            return rows(where, np.array([key[0] == 0]), "tail" if open_end else "inside", text, *([k] for k in key), [len(values)])
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if where is not None:
+                yield flushed(last=True)
+                yield rows(where, np.array([False]), "size", None, [at], [0], [0], [line])
+
+        for batch in batches:
+            pieces = batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]])) if len(pieces) else []
+            for a, b in zip(cuts, [*cuts[1:], len(pieces)]):
+                if where is None or pieces[a] != where[0]:
+                    yield from ended()
+                    where, line, at, held = tuple(batch.column(i)[a].as_py() for i in (1, 2, 3)), 0, 0, []
+                values = batch.column(0).slice(a, b - a).fill_null("")
+                numbers = line + np.arange(1, len(values) + 1)
+                stamped = pc.match_substring_regex(values, P.STAMP_AT_START).to_numpy(zero_copy_only=False)
+                owns = np.maximum.accumulate(np.where(stamped, numbers, at))
+                parts = (numbers - np.maximum(owns, 1)) // lines_per_part
+                line, at = line + len(values), int(owns[-1])
+                new = np.ones(len(owns), dtype=bool)
+                new[1:] = (owns[1:] != owns[:-1]) | (parts[1:] != parts[:-1])
+                new[0] = not held or (int(owns[0]), int(parts[0])) != key[:2]
+                firsts = np.flatnonzero(new)
+                if not len(firsts):
+                    held.append(values)
+                    continue
+                if held:
+                    held.append(values.slice(0, int(firsts[0])))
+                    yield flushed(last=False)
+                if len(firsts) > 1:
+                    done = firsts[:-1]
+                    yield rows(
+                        where, owns[done] == 0, "inside", joined(values, firsts), owns[done], parts[done], numbers[done], np.diff(firsts)
+                    )
+                tail = int(firsts[-1])
+                held, key = [values.slice(tail)], (int(owns[tail]), int(parts[tail]), int(numbers[tail]))
+        yield from ended()
+
+    return assemble
+
+
+def whole_records(pieces: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """The rows of :func:`multiline_records` from stored :func:`record_pieces` of the same ``lines_per_part``.
+
+    Where a piece begins in its file, and which record is running there,
+    follows from one row of each piece.  These rows are sent to every task as
+    long as there are no more than ``PIECES_TO_SEND`` (about 128 TB of text at
+    Spark's default piece), otherwise they are joined by sorting.  Only heads
+    and tails of pieces are shuffled, line by line; all other text stays
+    where it was read.
+    """
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.where("kind = 'size'")
+    last_stamp = F.when(F.col("at") > 0, F.col("before") + F.col("at"))
+    places = (
+        sizes.withColumn("before", F.coalesce(F.sum("num_lines").over(earlier), F.lit(0)))
+        .select("piece", "before", F.last(last_stamp, ignorenulls=True).over(earlier).alias("carried"))
+    )
+    few = sizes.limit(PIECES_TO_SEND + 1).count() <= PIECES_TO_SEND
+    places = places.hint("broadcast" if few else "merge")
+    inside = pieces.where("kind = 'inside'").join(places, "piece").select(
+        "file_path", (F.col("before") + F.col("at")).alias("record"), "part", "num_lines", "text"
+    )
+    own = F.when(F.col("kind") == "tail", F.col("before") + F.col("at")).otherwise(F.coalesce("carried", F.col("number")))
+    across = (
+        pieces.where("edge IS NOT NULL")
+        .select("kind", "piece", "file_path", "at", "line", "edge")
+        .join(places, "piece")
+        .select("*", F.posexplode(F.split("edge", "\n")).alias("i", "value"))
+        .withColumn("number", F.col("before") + F.col("line") + F.col("i"))
+        .withColumn("record", own)
+        .withColumn("part", F.floor((F.col("number") - F.col("record")) / lines_per_part).cast("bigint"))
+        .groupBy("file_path", "record", "part")
+        .agg(F.array_sort(F.collect_list(F.struct("number", "value"))).alias("content"))
+        .select(
+            "file_path",
+            "record",
+            "part",
+            F.size("content").cast("bigint").alias("num_lines"),
+            F.array_join("content.value", "\n").alias("text"),
+        )
+    )
+    return inside.union(across)

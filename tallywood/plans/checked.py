@@ -6,19 +6,16 @@ queries read the log view of ``events``; trip queries read ``lineitem``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.functions.text import matched
-from tallywood.functions import patterns as P
-from tallywood.operators import appstats, daily, durations, levels, messages, records, usage
+from tallywood.operators import appstats, daily, durations, levels, messages, usage
 from tallywood.operators.parsing import parse_lines, profile_files
+from tallywood.plans import stored
 from tallywood.sources import inventory, trip_files
 from tallywood.sources.event_log import log_lines_from_events
-from tallywood.sources.log_files import read_log_lines
 
 SHIPMENTS = daily.TripColumns(
     pickup="l_shipdate",
@@ -29,9 +26,6 @@ SHIPMENTS = daily.TripColumns(
     passengers="l_quantity",
 )
 SHIP_YEAR = 1998
-# Small blocks and parts, so that many records of the log view reach over both.
-BLOCK_LINES = 97
-PART_LINES = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,51 +54,6 @@ def _daily(spark: SparkSession, folder: str) -> DataFrame:
     return daily.daily_summary(_table(spark, folder, "lineitem"), SHIP_YEAR, SHIPMENTS)
 
 
-def _inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """The log view as files: a file's size is its lines plus line ends."""
-    return inventory.files_by_application(
-        profile_files(_lines(spark, folder)).select("file_path", "bytes")
-    )
-
-
-def _positioned(spark: SparkSession, folder: str) -> DataFrame:
-    return _lines(spark, folder).select(
-        "file_path",
-        F.floor(F.col("event_id") / BLOCK_LINES).alias("block"),
-        F.col("event_id").alias("pos"),
-        "value",
-    )
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
-
-    Without that setting the warehouse folder, which is always set, takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/tallywood-{uuid.uuid4().hex}"
-
-
-def log_text_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the log view as text files by application, scan them, count lines.
-
-    ``rebalance`` gives an application few files, and splits one that is too
-    big for a single writer.
-    """
-    lines = _lines(spark, folder).select(
-        "value", matched(F.col("file_path"), P.APPLICATION_ID).alias("application")
-    )
-    target = shared_folder(spark)
-    lines.hint("rebalance", "application").write.partitionBy("application").text(target)
-    scanned = read_log_lines(spark, f"{target}/application=*")
-    return (
-        profile_files(scanned)
-        .withColumn("application_id", matched(F.col("file_path"), P.APPLICATION_ID))
-        .groupBy("application_id")
-        .agg(F.sum("num_lines").alias("num_lines"), F.sum("bytes").alias("bytes"))
-    )
-
-
 def _events_twice(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{folder}/events.parquet"
     return (
@@ -135,9 +84,18 @@ QUERIES: dict[str, Query] = {
     "container_roles": lambda s, d: usage.container_roles(_lines(s, d)),
     "error_rates": lambda s, d: usage.error_rates(_lines(s, d)),
     "container_error_rates": lambda s, d: usage.error_rates(_lines(s, d), "container_id"),
-    "application_inventory": _inventory,
-    "inventory_totals": lambda s, d: inventory.inventory_totals(_inventory(s, d)),
-    "largest_applications": lambda s, d: inventory.largest_applications(_inventory(s, d)),
+    # files
+    "application_inventory": stored.application_inventory,
+    "inventory_totals": lambda s, d: inventory.inventory_totals(stored.application_inventory(s, d)),
+    "largest_applications": lambda s, d: inventory.largest_applications(stored.application_inventory(s, d)),
+    "timeline_from_csv": stored.timeline_from_csv,
+    "histogram_from_csv": lambda s, d: stored.charts_from_csv(s, d, "histogram"),
+    "density_from_csv": lambda s, d: stored.charts_from_csv(s, d, "density"),
+    "level_counts_from_csv": stored.level_counts_from_csv,
+    "ordered_parts_from_csv": stored.ordered_parts_from_csv,
+    "quoted_csv_round_trip": stored.quoted_csv_round_trip,
+    "month_folders": stored.month_folders,
+    "column_profile": stored.column_profile,
     # durations
     "app_durations": lambda s, d: durations.app_durations(_timeline(s, d)),
     "top_cluster_durations": lambda s, d: durations.app_durations(
@@ -168,8 +126,9 @@ QUERIES: dict[str, Query] = {
     "memory_capacities": lambda s, d: messages.memory_capacities(_lines(s, d)),
     "cached_bytes": lambda s, d: appstats.cached_bytes(_lines(s, d)),
     "broadcast_reads": lambda s, d: messages.broadcast_reads(_lines(s, d)),
+    "message_counts": lambda s, d: messages.message_counts(messages.all_messages(_lines(s, d))),
     "host_containers": lambda s, d: appstats.host_containers(_lines(s, d)),
-    "multiline_records": lambda s, d: records.multiline_records(_positioned(s, d), PART_LINES),
+    "multiline_records": stored.multiline_records,
     # trips
     "daily_summary": _daily,
     "daily_rollup": lambda s, d: daily.daily_rollup(_daily(s, d)),
@@ -178,7 +137,7 @@ QUERIES: dict[str, Query] = {
         _table(s, d, "lineitem"), SHIP_YEAR, SHIPMENTS
     ),
     # sources
-    "log_text_scan": log_text_scan,
+    "log_text_scan": stored.log_text_scan,
     "parquet_multi_scan": _events_twice,
     # Keeping the even ids is what this query does, over the whole table.
     "even_ids_doubled": lambda s, d: trip_files.even_ids_doubled(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.operators import daily, durations, levels, usage
+from tallywood.operators import daily, durations, levels, records, usage
 from tallywood.operators.parsing import profile_files
 from tallywood.sinks.files import write_report, write_table
 from tallywood.sources import results
@@ -24,17 +24,28 @@ def store_logs(
     counts and times follow, and once for the sample.  Logs may come in parts
     of whole files, such as one cluster or one day at a time: each part keeps
     its own folder, storing it again replaces it, and the reports read them all.
+    Draws are stored with their number and seed.
     """
     profile_files(lines).write.mode("overwrite").parquet(f"{out}/file_profile/part={part}")
-    levels.draw_lines(lines, sample_rows, seed).write.mode("overwrite").parquet(
+    draws = levels.draw_lines(lines, sample_rows, seed)
+    draws.withColumns({"sample_rows": F.lit(sample_rows), "seed": F.lit(seed)}).write.mode("overwrite").parquet(
         f"{out}/draws/part={part}"
     )
 
 
 def write_log_reports(spark: SparkSession, out: str, sample_rows: int = 10) -> None:
-    """Level and usage results below ``out`` from what :func:`store_logs` stored."""
+    """Level and usage results below ``out`` from what :func:`store_logs` stored.
+
+    Raises ``ValueError`` if more sample rows are asked for than each part
+    stored, or if parts were drawn with different seeds.
+    """
     files = spark.read.parquet(f"{out}/file_profile")
     draws = spark.read.parquet(f"{out}/draws")
+    stored = draws.agg(F.min("sample_rows").alias("rows"), F.min("seed").alias("one"), F.max("seed").alias("other")).first()
+    if stored.rows is not None and stored.rows < sample_rows:
+        raise ValueError(f"{sample_rows} sample rows asked for, parts were stored with {stored.rows}")
+    if stored.one != stored.other:
+        raise ValueError(f"parts were drawn with different seeds, such as {stored.one} and {stored.other}")
 
     tally = levels.tally_of_files(files)
     write_table(
@@ -56,6 +67,19 @@ def write_log_reports(spark: SparkSession, out: str, sample_rows: int = 10) -> N
     write_report(usage.usage_report(timeline), f"{out}/usage_report")
 
 
+def store_records(lines: DataFrame, out: str, lines_per_part: int = records.LINES_PER_PART) -> None:
+    """Multi-line records of a scan below ``out``, from one reading; :func:`read_records` returns them whole."""
+    pieces = records.record_pieces(lines, lines_per_part)
+    pieces.write.mode("overwrite").parquet(f"{out}/record_pieces/lines={lines_per_part}")
+
+
+def read_records(spark: SparkSession, out: str, lines_per_part: int = records.LINES_PER_PART) -> DataFrame:
+    """``file_path, record, part, num_lines, text`` of all records that :func:`store_records` stored."""
+    path = f"{out}/record_pieces/lines={lines_per_part}"
+    pieces = spark.read.schema(records.PIECES).parquet(path)
+    return records.whole_records(pieces, lines_per_part)
+
+
 def chart_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """Chart data from the stored results of :func:`write_log_reports`.
 

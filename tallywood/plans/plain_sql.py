@@ -409,6 +409,26 @@ FROM (
   )
 )
 GROUP BY file_path, coalesce(head, line), coalesce((line - head) // 3, 0)""",
+    # files
+    "level_counts_from_csv": _LOG + r"""
+SELECT log_level, count(*) AS count FROM parsed WHERE log_level IS NOT NULL GROUP BY log_level""",
+    "quoted_csv_round_trip": r"""
+SELECT event_id, props || chr(10) || '"",\' || event_type || CASE WHEN event_id % 2 = 0 THEN '\' ELSE '"' END AS log_entry
+FROM events""",
+    "month_folders": r"""
+SELECT cast(month(l_shipdate) AS integer) AS month, count(*) AS num_rows, sum(l_quantity) AS quantity
+FROM lineitem WHERE l_shipdate >= '1998-01-01' AND l_shipdate < '1998-04-01' GROUP BY 1""",
+    "column_profile": r"""
+WITH described AS (SELECT column_index - 1 AS position, column_name, data_type
+                   FROM duckdb_columns() WHERE table_name = 'events'),
+filled AS (SELECT column_name, count(*) AS filled FROM (UNPIVOT (SELECT COLUMNS(*)::varchar FROM events) ON *
+                  INTO NAME column_name VALUE v) GROUP BY column_name)
+SELECT cast(position AS integer) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                      WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' END AS column_type,
+       (SELECT count(*) FROM events) AS num_rows,
+       (SELECT count(*) FROM events) - coalesce(filled, 0) AS num_nulls
+FROM described LEFT JOIN filled USING (column_name)""",
     # trips
     "daily_summary": _DAILY + " SELECT * FROM daily",
     "daily_rollup": _DAILY + r"""
@@ -436,3 +456,25 @@ GROUP BY event_type""",
 SELECT o_orderkey * 2 AS doubled FROM orders WHERE o_orderkey % 2 = 0""",
     "sql_view_count": "SELECT count(*) AS total FROM orders",
 }
+# The same rows, whether they went through files or not.
+_EACH_KIND = {
+    "resource_request": "resource_requests",
+    "container_request": "container_requests",
+    "task_event": "task_events",
+    "python_times": "python_times",
+    "input_split": "input_splits",
+    "memory_block": "memory_blocks",
+    "memory_capacity": "memory_capacities",
+    "broadcast_read": "broadcast_reads",
+}
+ORACLES |= {
+    "message_counts": " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, count(*) AS num_messages, count(DISTINCT application_id) AS num_applications"
+        f" FROM ({ORACLES[name]}) HAVING count(*) > 0"
+        for kind, name in _EACH_KIND.items()
+    ),
+    "timeline_from_csv": ORACLES["app_timeline"],
+    "histogram_from_csv": ORACLES["duration_histogram"],
+    "density_from_csv": ORACLES["duration_density"],
+    "ordered_parts_from_csv": f"SELECT application_id, app_start, true AS in_order FROM ({ORACLES['app_timeline']})",
+}

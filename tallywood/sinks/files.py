@@ -18,12 +18,15 @@ def write_table(
 ) -> None:
     """``df`` as CSV with header; times as ``yyyy-MM-dd HH:mm:ss``, quotes doubled.
 
-    ``order`` keeps a small result's rows in order inside its single file.
+    ``order`` keeps rows in order: inside a single file, or over all files in
+    order of their names, of which each then holds a range.
     """
     if single_file:
         df = df.repartition(1)
         if order:
             df = df.sortWithinPartitions(*order)
+    elif order:
+        df = df.orderBy(*order)
     (
         df.write.mode("overwrite")
         .option("header", True)

@@ -21,13 +21,17 @@ DAILY_SUMMARY = (
 )
 
 
-def read_result(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV result with header; ``schema`` is given, so no pass infers it."""
+def read_result(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """A CSV result with header; ``schema`` is given, so no pass infers it.
+
+    ``multi_line`` for texts that hold line ends: a file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )

@@ -26,6 +26,32 @@ def read_partitioned(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{pattern}")
 
 
+def read_months(spark: SparkSession, root: str, year: int, months: Iterable[int]) -> DataFrame:
+    """Some months of a table stored in ``year=``, ``month=`` folders; other folders are not read.
+
+    A month without a folder has no rows.
+    """
+    table = spark.read.parquet(root)
+    return table.where((F.col("year") == year) & F.col("month").isin(*months))
+
+
+def profile_columns(df: DataFrame) -> DataFrame:
+    """``position, column_name, column_type, num_rows, num_nulls`` of ``df``, from one aggregation."""
+    fields = df.schema.fields
+    counts = df.agg(F.count("*").alias("num_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+    columns = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("column_type"),
+            F.col("num_rows"),
+            (F.col("num_rows") - F.col(f"c{i}")).alias("num_nulls"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return counts.select(F.inline(F.array(*columns)))
+
+
 def describe_columns(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``position, column_name, column_type, nullable`` of ``df``; reads no rows."""
     rows = [

@@ -1,8 +1,8 @@
 """Small in-line logs used by several tests."""
 
-APP = "application_1485248649253_0052"
-FILE_1 = f"file:/logs/{APP}/container_1485248649253_0052_01_000001.log"
-FILE_2 = f"file:/logs/{APP}/container_1485248649253_0052_01_000002.log"
+APP = "application_1512345678901_0007"
+FILE_1 = f"file:/logs/{APP}/container_1512345678901_0007_01_000001.log"
+FILE_2 = f"file:/logs/{APP}/container_1512345678901_0007_01_000002.log"
 
 # line, level, time at line start
 PARSED = [

@@ -12,8 +12,10 @@ from tallywood.operators.parsing import parse_lines, profile_files
 from tallywood.plans import jobs
 from tallywood.sinks.files import write_report, write_table
 from tallywood.sources import inventory, results, trip_files
+from tallywood.sources.results import read_result
+from tallywood.sources.trip_files import profile_columns, read_months
 from tallywood.sources.log_files import read_log_lines
-from tests.logs import rows
+from tests.logs import FILE_1, log_frame, rows
 
 
 @pytest.fixture
@@ -230,3 +232,46 @@ def test_sample_of_one_application(spark, logs):
     """A local sample folder is just another path."""
     lines = read_log_lines(spark, f"{logs}/application_10_0007/*")
     assert rows(usage.usage_totals(usage.app_timeline(lines))) == [(1, 1, 1.0)]
+
+
+def test_reports_need_the_stored_sample(spark, tmp_path):
+    lines = log_frame(spark, [(f"{i} INFO a: b", FILE_1) for i in range(30)])
+    out = f"{tmp_path}/out"
+    jobs.store_logs(lines, out, sample_rows=5)
+    with pytest.raises(ValueError, match="25 sample rows"):
+        jobs.write_log_reports(spark, out, sample_rows=25)
+    jobs.store_logs(lines, out, part="more", sample_rows=5, seed=7)
+    with pytest.raises(ValueError, match="seeds"):
+        jobs.write_log_reports(spark, out, sample_rows=5)
+
+
+def test_ordered_parts_and_line_ends(spark, tmp_path):
+    """Files hold ranges in order of their names, each with a header; any text comes back."""
+    path = f"{tmp_path}/ordered"
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        write_table(spark.range(1000).repartition(7), path, order=[F.desc("id")])
+    finally:
+        spark.conf.unset(setting)
+    parts = [p.read_text().split() for p in sorted((tmp_path / "ordered").glob("part-*.csv"))]
+    assert len(parts) > 3 and all(p[0] == "id" for p in parts)
+    assert [int(x) for p in parts for x in p[1:]] == list(range(999, -1, -1))
+    texts = ['a,"b"', "two\nlines", "back\\", '"', None, "\\\""]
+    write_table(spark.createDataFrame([(t,) for t in texts], "t string"), f"{tmp_path}/q", quote_all=True)
+    assert {r.t for r in read_result(spark, f"{tmp_path}/q", "t string", multi_line=True).collect()} == set(texts)
+
+
+def test_months_are_folders(spark, tmp_path):
+    frame = spark.createDataFrame([(y, m, y * m) for y in (1, 2) for m in (1, 2, 3)], "year int, month int, x int")
+    frame.write.partitionBy("year", "month").parquet(f"{tmp_path}/t")
+    found = read_months(spark, f"{tmp_path}/t", 2, [2, 3, 9])
+    assert {r.x for r in found.collect()} == {4, 6}
+    assert read_months(spark, f"{tmp_path}/t", 5, [1]).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_column_profile(spark):
+    frame = spark.createDataFrame([(1, None), (None, None), (2, "x")], "`a.b` int, c string")
+    assert [tuple(r) for r in profile_columns(frame).collect()] == [(0, "a.b", "int", 3, 1), (1, "c", "string", 3, 2)]

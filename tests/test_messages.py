@@ -47,7 +47,7 @@ def test_requests(lines):
 def test_origin_of_a_message(lines):
     first = messages.resource_requests(lines).first()
     assert first["application_id"] == APP
-    assert first["container_id"] == "container_1485248649253_0052_01_000001"
+    assert first["container_id"] == "container_1512345678901_0007_01_000001"
     assert str(first["ts"]) == "2017-03-29 10:04:43"
 
 
@@ -132,3 +132,41 @@ def test_components_are_ranked(spark):
     )
     assert rows(appstats.component_counts(lines)) == [(None, 4), ("a", 3), ("b", 3), ("c", 1)]
     assert rows(appstats.top_components(lines, rows=2)) == [(None, 4), ("a", 3)]
+
+
+def test_all_messages_from_one_scan(spark):
+    """Every reader's rows come from the one table, also of lines with two messages or a control character."""
+    texts = [
+        "17/03/29 10:04:41 INFO a: Will request 2 executor containers, each with 3 cores and 512 MB memory",
+        "17/03/29 10:04:41 INFO a: Will request 2 executor containers, each with 3 cores and 512 MB memory including 64 MB overhead",
+        "17/03/29 10:04:41 INFO a: Container request (host: h\u0001x, capability: <memory:99, vCores:7>)",
+        "17/03/29 10:04:41 INFO a: Finished task 1.0 in stage 2.1 (TID 9). 77 bytes result sent to driver",
+        "Running task 1.0 in stage 2.1 (TID 99999999999999999999) and Started reading broadcast variable 4",
+        "Times: total = -1, boot = 2, init = -3, finish = 4 Input split: hdfs://a/b:7+8",
+        "Block rdd_1_2 stored as bytes in memory (estimated size 1.5 KB, free 2.0 GB)",
+        "MemoryStore started with capacity 3.5 MB",
+        "Will request nothing task \u0001 Times: total = x\u0001\u0001\u0001\u0001\u0001",
+        "Finished task 3.0 in stage 4.0 (TID 5)\u0001 12 bytes result sent to driver",
+        "\u0001\u0001",
+        "plain",
+    ]
+    lines = log_frame(spark, [(t, FILE_1) for t in texts])
+    readers = {
+        "resource_request": messages.resource_requests,
+        "container_request": messages.container_requests,
+        "task_event": messages.task_events,
+        "python_times": messages.python_times,
+        "input_split": messages.input_splits,
+        "memory_block": messages.memory_blocks,
+        "memory_capacity": messages.memory_capacities,
+        "broadcast_read": messages.broadcast_reads,
+    }
+    found = messages.all_messages(lines)
+    for kind, reader in readers.items():
+        assert rows(messages.messages_of(found, kind)) == rows(reader(lines)) != []
+    assert found.count() == 11
+    assert [r[3:] for r in rows(messages.container_requests(lines))] == [("h\u0001x", 99, 7)]
+    assert [r[3:] for r in rows(messages.task_events(lines))] == [
+        ("Finished", 1, 0, 2, 1, 9, 77), ("Running", 1, 0, 2, 1, None, None), ("Finished", 3, 0, 4, 0, 5, 12),
+    ]
+    assert [r[3:] for r in rows(messages.resource_requests(lines))] == [(2, 3, 512, None), (2, 3, 512, 64)]

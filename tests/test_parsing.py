@@ -50,8 +50,8 @@ def test_path_ids(spark):
         )
     )
     assert got == [
-        (APP, "1485248649253", "0052", "container_1485248649253_0052_01_000001", True),
-        (APP, "1485248649253", "0052", "container_1485248649253_0052_01_000017", False),
+        (APP, "1512345678901", "0007", "container_1512345678901_0007_01_000001", True),
+        (APP, "1512345678901", "0007", "container_1512345678901_0007_01_000017", False),
         (None, None, None, None, None),
     ]
 

@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from tallywood.operators.records import assign_records, multiline_records
+from tallywood.operators import records
+from tallywood.operators.records import assign_records, multiline_records, record_pieces
+from tallywood.plans import jobs
 from tallywood.sources.log_files import read_positioned_log_lines
 from tests.logs import rows
 
@@ -85,3 +87,64 @@ def test_records_of_files_read_in_many_pieces(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert blocks[0] > blocks[1] > blocks[2] == 2
+
+
+def test_stored_records_equal_any_cut(spark, tmp_path):
+    """Records put together at the scan, for small and large pieces, batches and parts."""
+    pick = random.Random(5)
+    wanted = []
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name in ("one.log", "two.log", "empty.log", "none.log"):
+        lines = []
+        for i in range(0 if name == "empty.log" else 300):
+            frames = 2_500 if i == 150 else pick.choice([0, 0, 1, 3, 9])
+            head = "" if name == "none.log" or (name == "two.log" and i < 9) else STAMP
+            lines += [f"{head}{name} {i}", *(f"    at frame {i}.{j}" if j % 7 else "" for j in range(frames))]
+        (logs / name).write_text("\n".join(lines) + "\n" if lines else "")
+        wanted += [(name, 0, 0, line) for line in lines]
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    old = [spark.conf.get(s) for s in settings]
+    try:
+        for size, batch, part in (("3000", "10000", 100), ("20000", "70", 100), ("128m", "7", 3), ("9000", "1", 1), ("128m", "10000", 10_000)):
+            for setting, value in zip(settings, (size, batch)):
+                spark.conf.set(setting, value)
+            out = str(tmp_path / f"out-{size}-{batch}-{part}")
+            jobs.store_records(read_positioned_log_lines(spark, str(logs)), out, part)
+            got = rows(jobs.read_records(spark, out, part))
+            assert sorted((r[0].rsplit("/", 1)[1], *r[1:]) for r in got) == by_hand(wanted, part)
+    finally:
+        for setting, value in zip(settings, old):
+            spark.conf.set(setting, value)
+
+
+def stored_records(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name in ("a.log", "b.log"):
+        (logs / name).write_text("".join(f"{STAMP}{i}\n  more\n" for i in range(50)))
+    jobs.store_records(read_positioned_log_lines(spark, str(logs)), str(tmp_path / "out"))
+    return jobs.read_records(spark, str(tmp_path / "out"))
+
+
+def test_text_inside_pieces_does_not_move(spark, tmp_path):
+    plan = stored_records(spark, tmp_path)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    # Besides the sizes of pieces, only the parts that were taken apart line by line are exchanged.
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert all("record" in x or "file_path" in x for x in exchanges) and "Generate posexplode" in plan
+    pieces = record_pieces(read_positioned_log_lines(spark, str(tmp_path / "logs")))
+    assert "Exchange" not in pieces._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_pieces_are_joined_by_sorting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "PIECES_TO_SEND", 0)
+    made = stored_records(spark, tmp_path)
+    assert "SortMergeJoin" in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[1:] for r in rows(made)) == sorted((2 * i + 1, 0, 2, f"{STAMP}{i}\n  more") for i in range(50) for _ in range(2))
+
+
+def test_no_lines(spark, tmp_path):
+    (tmp_path / "empty.log").write_text("")
+    jobs.store_records(read_positioned_log_lines(spark, str(tmp_path / "empty.log")), str(tmp_path / "out"))
+    assert rows(jobs.read_records(spark, str(tmp_path / "out"))) == []
