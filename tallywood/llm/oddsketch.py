@@ -24,9 +24,9 @@ SIZE, LEAST = 2, 80  # words of a shingle; similarity in percent
 #: Sets of 80 % similarity miss each other in all bands with a chance below 3e-10.
 BANDS, ROWS = 56, 5
 SAMPLES, BITS, SIGMAS = 560, 1024, 5.5
-HUBS, MORE = 16, 16  # sets of a band compared with all others of it in the first round; so many times more in each next
+HUBS, MORE = 16, 16  # sets of a band compared with the others of it in the first round; so many times more in each next
 TABLE_BITS = 1 << 25
-PASSES = 4  # comparisons of each set with one other before all candidates are compared
+PASSES = 2  # comparisons of each set with one other before all candidates are compared
 WORDS = [f"w{i}" for i in range(BITS // 64)]
 FULL = [f"v{i}" for i in range(BITS // 64)]
 FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=U)) | U(1)
@@ -177,14 +177,15 @@ def near_copies(
     Sets that agree in a band are candidates.  In a few passes each set is
     compared with one other: of the sets that are first in its bands (by
     another hash each pass) that which it shares most bands with.  Bands whose
-    sets lie in one component are done.  In the others some 16 sets, then 256,
-    ... in an order given by hashes, are compared with all sets after them in
-    the order that lie in other components: of the pairs that no sketch rules
-    out the closest of each set first, then all that are still in different
-    components.  So no candidate is dropped, and a large group of copies costs
-    a few comparisons for each set.  A group of sets that are nearly, but not
-    quite similar enough costs up to a sketch comparison for each pair of it in
-    a band, spread over tasks by Spark's handling of skewed joins.
+    sets lie in one component are done.  In the others all sets outside the
+    band's largest component, some 16, then 256, ... at a time in an order given
+    by hashes, are compared with all sets of the band in other components: of
+    the pairs that no sketch rules out the closest of each set first, then all
+    that are still in different components.  Two sets of the largest component
+    need no comparison, so no candidate is dropped, and a large group of copies
+    costs a few comparisons for each set.  A group of sets that are nearly, but
+    not quite similar enough costs up to a sketch comparison for each pair of it
+    in a band, spread over tasks by Spark's handling of skewed joins.
 
     Samples are random: two sets that link share no band, or are ruled out by
     their sketches, with a chance below 1e-7 each; larger similarities do so
@@ -202,12 +203,12 @@ def near_copies(
     members = sets.select("mark", "size", F.explode("signs").alias("sign"))
     bands = stored(
         members.groupBy("sign")
-        .agg(F.min("mark").alias("hub"), F.max("mark").alias("top"), F.count("*").alias("n"))
+        .agg(F.min("mark").alias("hub"), F.max("mark").alias("top"))
         .where("hub < top")
-        .select("sign", "hub", "n"),
+        .select("sign", "hub"),
         "odd-bands",
     )
-    shared = stored(members.join(bands, "sign").select("sign", "mark", "size", "hub", "n"), "odd-shared")
+    shared = stored(members.join(bands, "sign").select("sign", "mark", "size", "hub"), "odd-shared")
     labels = _labels(source, sets.select("mark", *WORDS, *FULL), shared, size, least)
     named = stored(
         documents.join(labels.withColumnRenamed("node", "mark"), "mark", "left").select(
@@ -265,46 +266,55 @@ def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int
 
     tried = stored(_best_hubs(shared.where("mark > hub")), "odd-pairs")
     labels, passes, hubs_at_once = extended(None, tried), 1, HUBS
-    left = shared.select("sign", "mark", "size", "n")
+    left = shared.select("sign", "mark", "size")
     while True:
         placed = stored(_component(left, labels, "mark", "component"), "odd-placed")
         # Of bands with the same sets one is enough.
         opened = stored(
-            placed.groupBy("sign")
+            placed.groupBy("sign", "component")
             .agg(
-                F.min("component").alias("one"),
-                F.max("component").alias("other"),
                 F.count("*").alias("members"),
                 F.bit_xor(F.xxhash64("mark")).alias("some"),
                 F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("more"),
                 F.min(F.struct(F.xxhash64("mark", F.lit(passes)).alias("h"), "mark", "size", "component")).alias("hub"),
             )
-            .where("one <> other")
+            .groupBy("sign")
+            .agg(
+                F.sum("members").alias("members"),
+                (F.sum("members") - F.max("members")).alias("minor"),
+                F.max_by("component", F.struct("members", "component")).alias("major"),
+                F.bit_xor("some").alias("some"),
+                F.bit_xor("more").alias("more"),
+                F.min("hub").alias("hub"),
+            )
+            .where("minor > 0")
             .groupBy("members", "some", "more")
-            .agg(F.min_by(F.struct("sign", "hub"), "sign").alias("band"))
-            .select("band.sign", F.col("band.hub.mark").alias("hub"), F.col("band.hub.size").alias("hub_size"), F.col("band.hub.component").alias("hub_component")),
+            .agg(F.min_by(F.struct("sign", "major", "minor", "hub"), "sign").alias("band"))
+            .select("band.*")
+            .select("sign", "major", "minor", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("mark", "size", "component")]),
             "odd-open",
         )
         if opened.isEmpty():
             return labels
         if passes < PASSES:
             apart = placed.join(opened, "sign").where((F.col("component") != F.col("hub_component")) & like)
-            pairs = stored(_best_hubs(apart).join(tried, ["low", "high"], "left_anti"), "odd-pairs")
+            pairs = stored(_best_hubs(apart.withColumnRenamed("hub_mark", "hub")).join(tried, ["low", "high"], "left_anti"), "odd-pairs")
             tried = stored(tried.union(pairs), "odd-tried")
             labels, passes = extended(labels, pairs), passes + 1
             continue
-        still = stored(placed.join(opened.select("sign"), "sign", "left_semi").withColumn("turn", turn), "odd-still")
+        open_bands = opened.select("sign", "major", "minor")
+        is_hub = (F.col("component") != F.col("major")) & (turn * F.col("minor") < hubs_at_once)
+        still = stored(placed.join(open_bands, "sign").withColumn("is_hub", is_hub), "odd-still")
         sketched = still.join(sketches, "mark")
-        is_hub = F.col("turn") * F.col("n") < hubs_at_once
-        hubs = sketched.where(is_hub).select(
-            "sign", *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", "turn", *WORDS, *FULL)]
+        hubs = sketched.where("is_hub").select(
+            "sign", *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", *WORDS, *FULL)]
         )
-        after = F.struct("turn", "mark") > F.struct("hub_turn", "hub_mark")
+        once = ~F.col("is_hub") | (F.col("mark") > F.col("hub_mark"))
         pairs = stored(
             sketched.join(hubs, "sign")
-            .where(after & (F.col("component") != F.col("hub_component")) & like & near)
+            .where(once & (F.col("component") != F.col("hub_component")) & like & near)
             .select(
-                "mark",
+                F.col("hub_mark").alias("mark"),
                 F.least("mark", "hub_mark").alias("low"),
                 F.greatest("mark", "hub_mark").alias("high"),
                 (_apart(FULL) / (F.col("size") + F.col("hub_size"))).alias("apart"),
@@ -323,7 +333,7 @@ def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int
         rest = stored(rest.select("low", "high"), "odd-rest")
         labels = extended(labels, rest)
         tried = stored(tried.union(closest).union(rest), "odd-tried")
-        left = still.where(~is_hub).select(*left.columns)
+        left = still.where("not is_hub").select(*left.columns)
         hubs_at_once *= MORE
 
 
