@@ -657,8 +657,9 @@ def score_texts(
     task holds one part.
 
     A NULL or empty text is one token, its end.  A NULL id counts as no text and is
-    trained on.  Repeated rows are trained on and scored each.  No training documents: every
-    probability is 1.  No rows give no rows.  Other columns are not read.
+    trained on.  Repeated rows are trained on and scored each.  Without training documents
+    ``base_score`` is 0 and every token counts with probability 0.1 in ``score``.  No rows give no rows.  Other
+    columns are not read.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
