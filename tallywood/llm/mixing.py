@@ -144,6 +144,7 @@ def mix_sources(
     text_column: str = "text",
     source_column: str = "source",
     rows_per_piece: int = ROWS_PER_PIECE,
+    row_column: str | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, taken``.
 
@@ -157,6 +158,9 @@ def mix_sources(
     more than ``most`` times (rounded up).  A NULL text has no words; NULL sources are one
     source, the last.  A document without words has taken 0.  Equal rows count
     each.  No rows give no rows.  Other columns are not read.
+
+    ``row_column`` may name a column of row numbers: it orders rows alike in all else
+    and is returned too.
     """
     missing = F.col(source_column).isNull()
     key = F.struct(missing.alias("missing"), F.coalesce(source_column, F.lit("")).alias("name"))
@@ -165,7 +169,7 @@ def mix_sources(
             F.col(id_column).alias("doc_id"),
             key.alias("source_key"),
             word_count(F.col(text_column)).alias("size"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_column) if row_column else F.monotonically_increasing_id()).alias("row"),
         ),
         "mix-sizes",
     )
@@ -205,6 +209,7 @@ def mix_sources(
         "source_size",
         "target",
         "taken",
+        *([F.col("row").alias(row_column)] if row_column else []),
     )
 
 

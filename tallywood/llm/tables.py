@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``.
 
-    Where the session has no such setting, as in a local test, a folder below
-    the machine's temporary one takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or os.path.join(tempfile.gettempdir(), "checkpoints")
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tallywood-{label}-{uuid.uuid4().hex}"
 
 
@@ -28,4 +25,32 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """
     path = shared_folder(frame.sparkSession, label)
     frame.write.parquet(path)
+    if (made := _written.get()) is not None:
+        made.append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def stored_alone(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` returns, :func:`stored`; the tables stored on the way to it are deleted then.
+
+    They are deleted only once the result is written whole, so nothing that can
+    still be lost depends on them.  Frames made inside ``build`` must not be
+    used after it.  If it fails, its tables stay.
+    """
+    made: list[str] = []
+    token = _written.set(made)
+    try:
+        result = stored(build(), label)
+    finally:
+        _written.reset(token)
+    *before, last = made
+    for path in before:
+        _delete(spark, path)
+    if (outer := _written.get()) is not None:
+        outer.append(last)
+    return result
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
