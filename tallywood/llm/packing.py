@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Sequence
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tallywood.llm.prefix import hash_piece, piece_bits, running_totals
 from tallywood.llm.tables import stored
 from tallywood.llm.text import word_count
 
-BUCKETS, BUDGET, FINE_BITS, SEED = 16, 65_536, 9, 23
+BUCKETS, BUDGET, FINE_BITS, SEED = 16, 65_536, 16, 23
 ROWS_PER_PIECE = 50_000
 
 
@@ -26,32 +28,46 @@ def grain(length: Column, fine_bits: int) -> Column:
     return F.floor((length + step - 1) / step) * step
 
 
-def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """Upper ends of at most ``buckets`` ranges of ``lengths`` with least padding.
+def best_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
+    """Upper ends of at most ``buckets`` ranges of ``lengths`` (ascending) with least padding.
 
-    Dynamic programming: ``cost[j]`` is the least number of padded tokens for
-    the first j lengths with the ranges used so far; a range ending at j pads
-    all its texts to length j.
+    Dynamic programming: ``cost[j]`` is the least number of tokens, padding
+    included, for the first j lengths with the ranges used so far; a range
+    from i to j pads all its texts to length j.  Over j that is the lowest of
+    lines, one for each i, with ever lower slopes at ever larger places; so
+    lines that can't be lowest again are dropped, and a round of all j takes
+    time in proportion to their number.
     """
     n = len(lengths)
     if not n:
         return []
-    texts = np.concatenate([[0], np.cumsum(counts)]).astype(np.float64)
-    cost = np.concatenate([[0.0], lengths * texts[1:]])
-    choice = np.zeros((min(buckets, n), n + 1), dtype=np.int64)
-    for k in range(1, len(choice)):
-        new = cost.copy()
+    texts = [0, *accumulate(counts)]
+    cost = [0, *[w * t for w, t in zip(lengths, texts[1:])]]
+    choices = [[0] * (n + 1)]
+    for _ in range(1, min(buckets, n)):
+        new, choice, lines, first = cost[:], [0] * (n + 1), [], 0
         for j in range(1, n + 1):
-            tried = cost[:j] + lengths[j - 1] * (texts[j] - texts[:j])
-            i = int(np.argmin(tried))
-            choice[k, j], new[j] = i, tried[i]
+            added = j - 1
+            while len(lines) - first > 1:
+                one, two = lines[-2], lines[-1]
+                meets_two = (cost[added] - cost[one]) * (texts[two] - texts[one])
+                if meets_two > (cost[two] - cost[one]) * (texts[added] - texts[one]):
+                    break
+                lines.pop()
+            lines.append(added)
+            at = lengths[j - 1]
+            while len(lines) - first > 1 and cost[lines[first + 1]] - cost[lines[first]] <= at * (texts[lines[first + 1]] - texts[lines[first]]):
+                first += 1
+            i = lines[first]
+            new[j], choice[j] = cost[i] + at * (texts[j] - texts[i]), i
         cost = new
+        choices.append(choice)
     ends, j = [], n
-    for k in range(len(choice) - 1, -1, -1):
+    for choice in reversed(choices):
         if j:
-            ends.append(int(lengths[j - 1]))
-            j = int(choice[k, j])
-    return sorted(set(ends))
+            ends.append(lengths[j - 1])
+            j = choice[j]
+    return sorted(ends)
 
 
 def pack_buckets(
@@ -67,7 +83,10 @@ def pack_buckets(
     """One row per document: ``doc_id, n_tokens, bucket, bucket_tokens, batch, slot, padding``.
 
     The histogram of all lengths (words; one more token ends a text) chooses
-    the bucket boundaries with the least padding.  Inside its bucket, in
+    the bucket boundaries with the least padding.  Lengths below
+    ``2**fine_bits`` are told apart one by one; longer ones may share a cell
+    of the histogram, at most ``2**(1 - fine_bits)`` of their length wide, and
+    count as the longest text in it.  A bucket is as wide as its longest text.  Inside its bucket, in
     seeded random order, a document gets the next place of a batch; a batch
     holds as many texts, padded to the bucket's length, as ``budget`` tokens
     allow, and a text longer than the budget makes a batch of its own.
@@ -84,16 +103,17 @@ def pack_buckets(
         ),
         "pack-lengths",
     ).withColumn("rounded", grain(F.col("n_tokens"), fine_bits))
-    # Bounded: 2**fine_bits lengths for each binary digit of the longest text.
-    histogram = measured.groupBy("rounded").agg(F.count("*").alias("n")).orderBy("rounded").collect()
-    lengths = np.array([r["rounded"] for r in histogram], dtype=np.float64)
-    counts = np.array([r["n"] for r in histogram], dtype=np.float64)
-    ends = best_boundaries(lengths, counts, buckets)
+    # Bounded: 2**fine_bits lengths, and half as many for each further binary digit of the longest text.
+    histogram = (
+        measured.groupBy("rounded").agg(F.max("n_tokens").alias("longest"), F.count("*").alias("n")).orderBy("rounded").collect()
+    )
+    counts = [r["n"] for r in histogram]
+    ends = best_boundaries([r["longest"] for r in histogram], counts, buckets)
     which = F.lit(0)
     for end in ends[:-1]:
-        which = which + (F.col("rounded") > end).cast("int")
+        which = which + (F.col("n_tokens") > end).cast("int")
     width = F.element_at(F.array(*[F.lit(e).cast("bigint") for e in ends or [1]]), F.col("bucket") + 1)
-    bits = piece_bits(int(counts.sum()), rows_per_piece)
+    bits = piece_bits(sum(counts), rows_per_piece)
     placed = running_totals(
         measured.withColumns(
             {

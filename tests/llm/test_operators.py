@@ -158,6 +158,40 @@ def test_packing(docs, rows):
         assert len(batch) == 1 or len(batch) * batch[0]["bucket_tokens"] <= 300
 
 
+def least_padded(lengths, counts, buckets):
+    """Tokens with padding at best, by trying all last ranges."""
+    best = [0.0] + [math.inf] * len(lengths)
+    for _ in range(buckets):
+        best = [0.0] + [
+            min([best[j]] + [best[i] + lengths[j - 1] * sum(counts[i:j]) for i in range(j)]) for j in range(1, len(lengths) + 1)
+        ]
+    return best[-1]
+
+
+@pytest.mark.parametrize("fine_bits", [3, 16])
+def test_padding_is_least(docs, fine_bits):
+    """Whatever shares a cell of the histogram, buckets end at their longest texts; exact lengths give least padding."""
+    found = as_dicts(packing.pack_buckets(docs, buckets=5, fine_bits=fine_bits))
+    longest = {}
+    for r in found:
+        longest[r["bucket"]] = max(longest.get(r["bucket"], 0), r["n_tokens"])
+    assert all(r["bucket_tokens"] == longest[r["bucket"]] for r in found)
+    seen = sorted(Counter(r["n_tokens"] for r in found).items())
+    least = least_padded(*zip(*seen), 5)
+    total = sum(r["bucket_tokens"] for r in found)
+    assert total == least if fine_bits == 16 else least <= total <= 1.25 * least
+
+
+def test_boundaries_of_random_lengths():
+    rng = np.random.default_rng(5)
+    for n in range(1, 40):
+        lengths = sorted({int(x) for x in rng.integers(1, 90, n)})
+        counts = [int(c) for c in rng.integers(1, 6, len(lengths))]
+        ends = packing.best_boundaries(lengths, counts, 6)
+        padded = sum(c * min(e for e in ends if e >= w) for w, c in zip(lengths, counts))
+        assert len(ends) <= 6 and padded == least_padded(lengths, counts, 6)
+
+
 def test_best_boundaries():
     import itertools
 
@@ -278,7 +312,7 @@ def test_language_model_with_rare_contexts(docs, monkeypatch, rare):
             assert f == pytest.approx(w, nan_ok=True)
 
 
-def test_similarity_join(docs, rows):
+def test_similarity_join(docs, rows, monkeypatch):
     sets = []
     for r in rows:
         w = words(r[1])
@@ -302,6 +336,9 @@ def test_similarity_join(docs, rows):
             names[root(i)] = min(names.get(root(i), r[0]), r[0])
     want = Counter((r[0], len(s), names.get(root(i)) if s else r[0]) for i, (r, s) in enumerate(zip(rows, sets)))
     assert Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect()) == want
+    # The same with many pieces to a task.
+    monkeypatch.setattr(partenum, "PIECE_BYTES", 500)
+    assert Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect()) == want
 
 
 def test_sketches_never_differ_more_than_sets():
