@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,9 @@ from tallywood.llm.tables import stored
 from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
 
 SIZE, LEAST = 5, 75  # words of a shingle; similarity in percent
-FAMILIES, BLOCK_SHINGLES, SPARE = 6, 1_000_000, 0.08
+FAMILIES, BLOCK_SHINGLES, SPARE = 6, 300_000, 0.08
+#: Bytes of text whose signatures a task holds at a time.
+PIECE_BYTES = 8 << 20
 MARK_BITS = 25
 SKETCH_BITS = 10
 SKETCH = (1 << SKETCH_BITS) // 64
@@ -220,15 +223,15 @@ def allowance(least: int) -> list[int]:
     return [s.shared - 1 if s else 0 for s in shapes]
 
 
-SENT = "part int, slot int, sign binary, mark binary, size binary, doc_id binary"
+SENT = "part int, piece bigint, slot int, sign binary, mark binary, size binary, doc_id binary"
 MET = "kind int, slot int, sign bigint, mark bigint, size bigint, n bigint, doc_id bigint"
 NO_ID = np.iinfo(np.int64).min
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
     names = [f.split()[0] for f in SENT.split(", ")]
-    columns = list(zip(*rows)) if rows else [()] * 6
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*rows)) if rows else [()] * 7
+    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
@@ -252,7 +255,7 @@ def _as_numbers(ids: pa.Array) -> np.ndarray:
     return np.where(ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), NO_ID)
 
 
-def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
+def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
     """Sorted hashes of shingles found often in a bounded sample of texts.
 
     They only steer which signatures are made: links do not depend on them.
@@ -263,7 +266,7 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
             found, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
 
-    share = min(1.0, SAMPLE / max(1, docs.count()))
+    share = min(1.0, SAMPLE / max(1, n_docs))
     found = (
         docs.sample(share, seed=1)
         .mapInArrow(count, "shingle bigint, n bigint")
@@ -279,36 +282,46 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
 def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
     """Rows of kind 0, ``doc_id, mark, size`` of each document, and of kind 1: signatures of several sets.
 
-    Equal sets count once in a task, and once where signatures meet.
+    Equal sets count once in a task, and once where signatures meet.  Signatures
+    are dealt to ``parts`` tasks in pieces that the tasks sort, where Spark can
+    spill, and hold one after the other: pieces grow in number with the text.
     """
-    common = common_shingles(docs, size)
+    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    common = common_shingles(docs, size, n_docs)
+    pieces = parts * max(1, -(-n_bytes // (PIECE_BYTES * parts)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
         for number, (ids, rows, hashes, sizes, marks) in enumerate(_blocks(batches, size)):
-            yield _sent([(number % parts, -1, b"", marks.tobytes(), sizes.astype(np.int32).tobytes(), _as_numbers(ids).tobytes())])
+            texts = (marks.tobytes(), sizes.astype(np.int32).tobytes(), _as_numbers(ids).tobytes())
+            yield _sent([((task + number) % parts, -1, -1, b"", *texts)])
             first = np.zeros(len(marks), dtype=bool)
             first[np.unique(marks, return_index=True)[1]] = True
             keep = first[rows]
             for slot, at, signs in set_signatures(rows[keep], hashes[keep], np.where(first, sizes, 0), least, common):
-                part = (signs >> U(40)).astype(np.int64) % parts
-                order = np.argsort(part.astype(np.uint16) if parts < 65_536 else part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                signs, mark, count = signs[order], marks[at[order]], sizes[at[order]].astype(np.int32)
+                piece = ((signs >> U(32)) % U(pieces)).astype(np.int64)
+                order = np.argsort(piece, kind="stable")
+                piece, signs, mark, count = piece[order], signs[order], marks[at[order]], sizes[at[order]].astype(np.int32)
+                cuts = np.flatnonzero(np.diff(piece, prepend=-1, append=-1))
                 yield _sent(
                     [
-                        (int(p), slot, signs[a:b].tobytes(), mark[a:b].tobytes(), count[a:b].tobytes(), b"")
-                        for p, a, b in zip(range(parts), cuts, cuts[1:]) if b > a
+                        (int(piece[a] % parts), int(piece[a]), slot, signs[a:b].tobytes(), mark[a:b].tobytes(), count[a:b].tobytes(), b"")
+                        for a, b in zip(cuts, cuts[1:])
                     ]
                 )
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in MET.split(", ")]
         held: dict[int, list[list[np.ndarray]]] = {}
+        current = -1
         for batch in batches:
-            for slot, sign, mark, count, ids in zip(batch.column("slot").to_pylist(), *[batch.column(c) for c in ("sign", "mark", "size", "doc_id")]):
+            for piece, slot, sign, mark, count, ids in zip(batch.column("piece").to_pylist(), batch.column("slot").to_pylist(), *[batch.column(c) for c in ("sign", "mark", "size", "doc_id")]):
                 sign, mark = np.frombuffer(sign.as_buffer(), dtype=U), np.frombuffer(mark.as_buffer(), dtype=np.int64)
                 count = np.frombuffer(count.as_buffer(), dtype=np.int32).astype(np.int64)
                 if slot >= 0:
+                    if piece != current:
+                        yield from several_of(held, names)
+                        current = piece
                     held.setdefault(slot, []).append([sign, mark, count])
                     continue
                 number = np.frombuffer(ids.as_buffer(), dtype=np.int64)
@@ -317,6 +330,10 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
                     [pa.array(np.zeros(len(mark), dtype=np.int32)), pa.nulls(len(mark), pa.int32()), none, pa.array(mark),
                      pa.array(count), none, pa.array(number, mask=number == NO_ID)], names=names,
                 )
+        yield from several_of(held, names)
+
+    def several_of(held: dict[int, list[list[np.ndarray]]], names: list[str]) -> Iterator[pa.RecordBatch]:
+        """The signatures that several sets hold; leaves ``held`` empty."""
         for slot in list(held):
             sign, mark, count = (np.concatenate(c) for c in zip(*held.pop(slot)))
             order = np.argsort(sign, kind="stable")
@@ -346,7 +363,8 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
                 )
 
     return stored(
-        docs.mapInArrow(send, SENT).repartitionById(parts, F.col("part")).mapInArrow(group, MET), "jaccard-met"
+        docs.mapInArrow(send, SENT).repartitionById(parts, F.col("part")).sortWithinPartitions("piece").mapInArrow(group, MET),
+        "jaccard-met",
     )
 
 
@@ -460,7 +478,7 @@ def jaccard_components(
     groups are told apart by hashes of 64 bits or more.
 
     ``parts`` (default: the session's shuffle partitions) divides the
-    signatures; a task holds one part.  Documents without id take part but do
+    signatures; a task holds those of some 8 MB of text at a time.  Documents without id take part but do
     not name a component, which is NULL if none of its documents has an id.
     Repeated rows get a row each.  No rows give no rows.  Other columns are not
     read.
