@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywood.llm.prefix import hash_piece, piece_bits, running_totals
@@ -69,56 +69,62 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, mos
     )
 
 
-def schedule(targets: DataFrame, slots: int, block: int) -> DataFrame:
+def van_der_corput(number: Column) -> Column:
+    """The binary van der Corput point, from 0 to 1, of a whole number below 2**32."""
+    turned = F.reverse(F.lpad(F.bin(number), 32, "0"))
+    return F.conv(turned, 2, 10).cast("double") / F.lit(float(FULL_TURN))
+
+
+def schedule(targets: DataFrame, slots: int, block: int, golden: int = GOLDEN) -> DataFrame:
     """``source_key, slot, rank, block_number, take``: which block each slot takes.
 
-    Slot k lies at the fraction of ``(k + 1)`` golden ratios, which fills the
-    line from 0 to 1 evenly at every length, and belongs to the source whose
-    part it hits.  Its rank among the slots of that source says which block it
-    takes: the source's blocks in turn, then again from the first.  The last
-    slot of a source ends at its target.  A source whose part is hit too seldom
-    for its target, as of less than a few blocks, takes the blocks it lacks in
-    slots behind the others, one a slot; sources share those slots.  So what a
-    source takes is its target without the fraction.  Slots meet sources by
-    cells of the line, not by comparing all with all.
+    Point k is the fraction of ``(k + 1)`` golden ratios, which fills the line
+    from 0 to 1 evenly at every length, and belongs to the source whose part it
+    hits.  A source whose part is hit too seldom for its target, as of less
+    than a few blocks, gets the slots it lacks where van der Corput points,
+    turned by the source's own place on the line, put them among the others.
+    A slot's rank among those of its source says which block it takes: the
+    source's blocks in turn, then again from the first.  The last slot of a
+    source ends at its target; points beyond it take nothing and get no slot.
+    Slots are numbered from 0 without gaps.  So every stretch of the schedule
+    has the sources near their weights, and a source takes its target without
+    the fraction.  Points meet sources by cells of the line, not by comparing
+    all with all.
     """
     spark = targets.sparkSession
-    point = ((F.col("id") + 1) * F.lit(GOLDEN)) % F.lit(FULL_TURN) / F.lit(float(FULL_TURN))
+    point = ((F.col("id") + 1) * F.lit(golden)) % F.lit(FULL_TURN) / F.lit(float(FULL_TURN))
     points = spark.range(slots).select(
-        F.col("id").alias("slot"),
-        point.alias("point"),
-        F.floor(point * CELLS).alias("cell"),
-        F.floor(F.col("id") / CHUNK).alias("chunk"),
-        F.lit(1).cast("bigint").alias("one"),
+        F.col("id").alias("at"), point.alias("point"), F.floor(point * CELLS).alias("cell")
     )
     parts = targets.where("hi > lo").select(
         "source_key",
-        "source_size",
-        "target",
         "lo",
         "hi",
         F.explode(
             F.sequence(F.floor(F.col("lo") * CELLS), F.floor(F.col("hi") * CELLS))
         ).alias("cell"),
     )
-    dealt = points.join(parts, "cell").where("point >= lo and point < hi").drop("cell", "lo", "hi", "point")
-    columns = ["source_key", "source_size", "target", "slot", "rank"]
-    ranked = running_totals(dealt, ["source_key"], "chunk", ["slot"], {"rank": "one"}).select(*columns)
+    dealt = points.join(parts, "cell").where("point >= lo and point < hi").select("source_key", "at", F.lit(0).alias("extra"))
     blocks = F.ceil(F.col("source_size") / F.lit(block))
     whole = F.floor("target")
     needed = F.floor(whole / F.col("source_size")) * blocks + F.ceil(whole % F.col("source_size") / F.lit(block))
+    spread = van_der_corput(F.col("extra")) + (F.col("lo") + F.col("hi")) / 2
     lacking = (
         targets.where("source_size > 0")
-        .join(dealt.groupBy("source_key").agg(F.sum("one").alias("hits")), "source_key", "left")
+        .join(dealt.groupBy("source_key").agg(F.count("*").alias("hits")), "source_key", "left")
         .withColumns({"hits": F.coalesce("hits", F.lit(0).cast("bigint")), "needed": needed})
         .where("needed > hits")
-        .withColumn("rank", F.explode(F.sequence(F.col("hits"), F.col("needed") - 1)))
-        .withColumn("slot", F.col("rank") - F.col("hits") + slots)
-        .select(*columns)
+        .withColumn("extra", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("needed") - F.col("hits"))))
+        .select("source_key", F.floor((spread - F.floor(spread)) * slots).alias("at"), "extra")
     )
+    placed = dealt.union(lacking).select(
+        "*", F.floor(F.col("at") / CHUNK).alias("chunk"), F.lit(1).cast("bigint").alias("one")
+    )
+    ranked = running_totals(placed, ["source_key"], "chunk", ["at", "extra"], {"rank": "one"})
     start = F.col("block_number") * F.lit(block)
-    return (
-        ranked.union(lacking).withColumns({"round": F.floor(F.col("rank") / blocks), "block_number": F.col("rank") % blocks})
+    taking = (
+        ranked.join(targets.select("source_key", "source_size", "target"), "source_key")
+        .withColumns({"round": F.floor(F.col("rank") / blocks), "block_number": F.col("rank") % blocks})
         .withColumn(
             "take",
             F.least(
@@ -128,7 +134,10 @@ def schedule(targets: DataFrame, slots: int, block: int) -> DataFrame:
             ),
         )
         .where("take > 0")
-        .select("source_key", "slot", "rank", "block_number", "take")
+    )
+    order = ["at", "extra", "source_key"]
+    return running_totals(taking, [], "chunk", order, {"slot": "one"}).select(
+        "source_key", "slot", "rank", "block_number", "take"
     )
 
 
@@ -145,13 +154,16 @@ def mix_sources(
     source_column: str = "source",
     rows_per_piece: int = ROWS_PER_PIECE,
     row_column: str | None = None,
+    golden: int = GOLDEN,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken``.
+    """One row per document: ``doc_id, source, size, source_size, target, taken, first_slot``.
 
     A source's documents, shuffled by a seeded hash, form one line of words
     that is cut into blocks of equal length; :func:`schedule` deals the slots
     of the mixture to blocks, and ``taken`` counts the words of the document
-    that the slots took, repeats included.  ``slots`` sets how fine the mixture
+    that the slots took, repeats included.  ``first_slot`` is the first slot
+    that takes words of it, NULL if none does: documents in this order are
+    mixed by weight at every length.  ``slots`` sets how fine the mixture
     is at any input size: a block is ``share`` of all words over ``slots``.
 
     A source takes its target without the fraction, and no document is taken
@@ -177,8 +189,8 @@ def mix_sources(
     block = max(least_block, int(-(-total * share // slots)))
     sources = measured.groupBy("source_key").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sources, weights, share, most), "mix-targets")
-    dealt = schedule(targets, max(1, int(-(-total * share // block))), block).select(
-        "source_key", "block_number", "take"
+    dealt = schedule(targets, max(1, int(-(-total * share // block))), block, golden).select(
+        "source_key", "slot", "block_number", "take"
     )
     bits = piece_bits(rows, rows_per_piece)
     shuffled = measured.withColumn("mark", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn(
@@ -200,7 +212,10 @@ def mix_sources(
     taken = (
         cut.join(dealt, ["source_key", "block_number"], "left")
         .groupBy("row", "doc_id", "source_key", "size")
-        .agg(F.coalesce(F.sum(F.greatest(overlap, F.lit(0))), F.lit(0)).cast("bigint").alias("taken"))
+        .agg(
+            F.coalesce(F.sum(F.greatest(overlap, F.lit(0))), F.lit(0)).cast("bigint").alias("taken"),
+            F.min(F.when(overlap > 0, F.col("slot"))).cast("bigint").alias("first_slot"),
+        )
     )
     return taken.join(targets.select("source_key", "source_size", "target"), "source_key").select(
         "doc_id",
@@ -209,6 +224,7 @@ def mix_sources(
         "source_size",
         "target",
         "taken",
+        "first_slot",
         *([F.col("row").alias(row_column)] if row_column else []),
     )
 

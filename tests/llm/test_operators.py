@@ -146,6 +146,42 @@ def test_mix_of_small_sources(spark):
             assert abs(taken[source] - target) <= max(1, 0.01 * target)
 
 
+def test_schedule_is_even_at_every_length(spark):
+    """Slots run from 0; in every prefix each source has its share of the words, but for a few blocks."""
+    sizes = {"big0": 20_000, "big1": 20_000, "mid": 3_000, "s0": 10, "s1": 30, "s2": 75, "s3": 200}
+    made = [((False, s), n) for s, n in sizes.items()]
+    sources = spark.createDataFrame(made, "source_key struct<missing: boolean, name: string>, source_size bigint")
+    targets = mixing.source_targets(sources, (5, 2, 1), 1.5, 2.0)
+    share = {r["source_key"]["name"]: r["target"] for r in targets.collect()}
+    found = {}
+    for golden in (mixing.GOLDEN, 1):
+        dealt = sorted(mixing.schedule(targets, 1024, 64, golden).collect(), key=lambda r: r["slot"])
+        assert [r["slot"] for r in dealt] == list(range(len(dealt)))
+        so_far, most, ranks = Counter(), 0.0, Counter()
+        for r in dealt:
+            name = r["source_key"]["name"]
+            assert r["rank"] == ranks[name]
+            ranks[name] += 1
+            so_far[name] += r["take"]
+            words = sum(so_far.values())
+            most = max(most, *(abs(so_far[s] - words * share[s] / sum(share.values())) for s in sizes))
+        assert so_far == Counter({s: int(t) for s, t in share.items()})
+        found[golden] = (most, [(r["source_key"]["name"], r["block_number"]) for r in dealt])
+    assert found[mixing.GOLDEN][0] <= 6 * 64
+    assert found[1][0] > 20 * 64  # points in one line from 0 to 1 are no mixture
+    assert found[1][1] != found[mixing.GOLDEN][1]
+
+
+def test_first_slots_follow_the_schedule(docs):
+    """``first_slot`` is there where words are taken, and another constant deals other slots but the same amounts."""
+    found = {g: as_dicts(mixing.mix_sources(docs, least_block=4, rows_per_piece=10, golden=g)) for g in (mixing.GOLDEN, 1)}
+    for made in found.values():
+        assert all((r["first_slot"] is None) == (r["taken"] == 0) for r in made)
+    taken, slots = ([Counter((r["doc_id"], r["size"], r[c]) for r in made) for made in found.values()] for c in ("taken", "first_slot"))
+    assert taken[0] == taken[1]
+    assert slots[0] != slots[1]
+
+
 def test_packing(docs, rows):
     found = as_dicts(packing.pack_buckets(docs, buckets=4, budget=300, rows_per_piece=10))
     assert len(found) == len(rows)
