@@ -1,16 +1,16 @@
-"""Repeated runs of lines, found by prefix doubling over line ids."""
+"""Repeated runs of lines, found in the suffix order of line ids."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallywood.llm.prefix import hash_piece, piece_bits, running_totals
 from tallywood.llm.tables import stored
 from tallywood.llm.text import word_count
 
 MIN_WORDS = 50
+ROWS_PER_PIECE = 50_000
 
 
 def line_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -45,31 +45,123 @@ def minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
     return onward.union(back).distinct()
 
 
-def doubled(lines: DataFrame, longest: int) -> DataFrame:
-    """``row, n, level, name``: names of the runs of 2**level lines, equal for equal runs.
+def _next_ranks(ranked: DataFrame, shift: int, rows_per_piece: int) -> tuple[DataFrame, int]:
+    """Ranks by twice as many lines, and the number of different ones.
 
-    Prefix doubling: the name of a run of twice the length comes from those of
-    its halves.  Lines that occur once have no name, so neither have runs with
-    such a line.  All levels share one shuffle, by text.
+    ``ranked`` (``row, n, left, rank``) is ordered by its first ``shift`` lines.
+    Suffixes of one rank are told apart by the rank ``shift`` lines on; none
+    there, as at the end of a stretch, comes first.  A rank counts the suffixes
+    before it, so it only grows by those of its old rank that now come earlier.
     """
     along = Window.partitionBy("row").orderBy("n")
-    levels = max(1, longest).bit_length()
-    named = lines.withColumn("name_0", F.col("name"))
-    for k in range(1, levels):
-        half = F.lead(f"name_{k - 1}", 1 << (k - 1)).over(along)
-        both = half.isNotNull() & F.col(f"name_{k - 1}").isNotNull()
-        named = named.withColumn(f"name_{k}", F.when(both, F.xxhash64(f"name_{k - 1}", half)))
-    every = F.array(*[F.struct(F.lit(k).alias("level"), F.col(f"name_{k}").alias("name")) for k in range(levels)])
-    return (
-        named.where("name is not null")
-        .select("row", "n", F.explode(every).alias("found"))
-        .select("row", "n", "found.level", "found.name")
-        .where("name is not null")
+    there = F.lead("n", shift).over(along) == F.col("n") + shift
+    pairs = stored(
+        ranked.withColumn("after", F.when(there, F.lead("rank", shift).over(along)).otherwise(-1)), "line-pairs"
     )
+    groups = pairs.groupBy("rank", "after").agg(F.count("*").alias("size"))
+    groups = stored(groups.withColumn("piece", F.floor(F.col("after") / rows_per_piece)), "line-groups")
+    earlier = running_totals(groups, ["rank"], "piece", ["after"], {"earlier": "size"})
+    grown = pairs.join(earlier.select("rank", "after", "earlier"), ["rank", "after"])
+    return stored(grown.select("row", "n", "left", (F.col("rank") + F.col("earlier")).alias("rank")), "line-ranks"), groups.count()
+
+
+def suffix_levels(lines: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> list[DataFrame]:
+    """``row, n, left, rank`` of all suffixes, by their first 1, 2, 4, ... lines.
+
+    ``lines`` has ``row, n, name``; a suffix goes from a line to the end of its
+    stretch of successive numbers, ``left`` lines on.  Equal ranks are equal
+    beginnings, and the last table has the suffix order but for suffixes that
+    are equal to their ends.  Prefix doubling stops once no rank is split; the
+    rounds grow with the logarithm of the longest repeated stretch.
+    """
+    along = Window.partitionBy("row").orderBy("n")
+    stretch = Window.partitionBy("row", F.col("n") - F.col("k"))
+    counts = stored(lines.groupBy("name").agg(F.count("*").alias("size")), "line-sizes")
+    different = counts.count()
+    bits = piece_bits(different, rows_per_piece)
+    first = running_totals(counts.withColumn("piece", hash_piece(F.col("name"), bits)), [], "piece", ["name"], {"rank": "size"})
+    levels = [
+        stored(
+            lines.join(first.select("name", "rank"), "name")
+            .withColumn("k", F.row_number().over(along))
+            .select("row", "n", (F.max("n").over(stretch) - F.col("n") + 1).alias("left"), "rank"),
+            "line-ranks",
+        )
+    ]
+    while different:
+        ranked, now = _next_ranks(levels[-1], 1 << (len(levels) - 1), rows_per_piece)
+        if now == different:
+            break
+        levels, different = [*levels, ranked], now
+    return levels
+
+
+def suffix_array(lines: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """``row, n, left, position, common``: every suffix of :func:`suffix_levels` in order.
+
+    Suffixes equal to their ends are ordered by row and number.  ``common``
+    counts the first lines that a suffix shares with the one a position before.
+    Where the lines before both are equal too, it is one less than that of the
+    line before; so it is looked up for the others only, and carried on along
+    the text.  Equal ranks of the last level are equal to their ends; others
+    share fewer lines than it looks at, found by descending the levels.
+    """
+    levels = suffix_levels(lines, rows_per_piece)
+    along = Window.partitionBy("row").orderBy("n")
+    before = F.when(F.lag("n").over(along) == F.col("n") - 1, F.lag("rank").over(along))
+    lined = levels[0].select("row", "n", before.alias("before"))
+    tied = running_totals(
+        levels[-1].join(lined, ["row", "n"]).withColumns(
+            {"piece": F.floor(F.col("row") / rows_per_piece), "one": F.lit(1).cast("bigint")}
+        ),
+        ["rank"],
+        "piece",
+        ["row", "n"],
+        {"tied": "one"},
+    )
+    order = stored(
+        tied.select("row", "n", "left", "before", (F.col("rank") + F.col("tied")).alias("position")), "line-order"
+    )
+    neighbour = order.select(
+        (F.col("position") + 1).alias("position"), F.col("row").alias("row_2"), F.col("n").alias("n_2"), F.col("before").alias("before_2")
+    )
+    pairs = order.join(neighbour, "position").where("before is null or before_2 is null or before <> before_2")
+    last = levels[-1]
+    same = last.select(F.col("row").alias("row_2"), F.col("n").alias("n_2"), F.col("rank").alias("rank_2"))
+    to_end = F.when(F.col("rank") == F.col("rank_2"), F.col("left")).otherwise(0)
+    pairs = stored(
+        pairs.select("row", "n", "row_2", "n_2")
+        .join(last, ["row", "n"])
+        .join(same, ["row_2", "n_2"])
+        .select("row", "n", "row_2", "n_2", to_end.alias("common")),
+        "line-neighbours",
+    )
+    for k, level in reversed(list(enumerate(levels[:-1]))):
+        whole = level.where(F.col("left") >= 1 << k)
+        one = whole.select("row", F.col("n").alias("at"), "rank")
+        two = whole.select(F.col("row").alias("row_2"), F.col("n").alias("at_2"), F.col("rank").alias("rank_2"))
+        pairs = stored(
+            pairs.withColumns({"at": F.col("n") + F.col("common"), "at_2": F.col("n_2") + F.col("common")})
+            .join(one, ["row", "at"], "left")
+            .join(two, ["row_2", "at_2"], "left")
+            .select(
+                "row", "n", "row_2", "n_2",
+                (F.col("common") + F.when(F.col("rank") == F.col("rank_2"), 1 << k).otherwise(0)).alias("common"),
+            ),
+            "line-common",
+        )
+    first = order.where("position = 0").select("row", "n", F.col("n").alias("end"))
+    ends = pairs.select("row", "n", (F.col("n") + F.col("common")).alias("end")).union(first)
+    end = F.last("end", ignorenulls=True).over(along)
+    return order.join(ends, ["row", "n"], "left").select("row", "n", "left", "position", (end - F.col("n")).alias("common"))
 
 
 def repeated_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_lines, n_deleted, deleted_words, deleted``.
 
@@ -79,11 +171,13 @@ def repeated_lines(
     deleted: ``deleted`` has their numbers, counting all lines from 0.  Runs do
     not cross texts.  Lines are told apart by 64-bit hashes.
 
-    Prefix doubling names all runs of 1, 2, 4, ... lines; a run of any length
-    is named by the two, overlapping, that cover it.  The intervals of equal
-    names give each run its copies, and the earliest stays.  Every maximal
-    repeated run is the union of the shortest runs of enough words in it, so
-    those suffice, and the doubling ends with their length.
+    Lines that occur more than once make a suffix array over all texts, by
+    prefix doubling (:func:`suffix_array`); no run goes on beyond another line.
+    Where a suffix shares fewer lines with the one before it than a run has, an
+    interval of equal runs of that length begins; its earliest run stays.
+    Every maximal repeated run is the union of the shortest runs of enough
+    words in it, and the intervals are looked up at their lengths.  The lines
+    of one text are numbered in one task, as its text is one row.
 
     A NULL or empty text has no lines.  Of repeated rows, one comes first and
     the others are its copies.  A NULL id comes before all others.  No rows
@@ -108,26 +202,30 @@ def repeated_lines(
     # Texts without any repeated line are done.
     bounds = numbered.select("row", "doc_id", "n", "total").unionByName(ends.where("known > 0").drop("known"))
     runs = stored(minimal_runs(bounds, min_words), "line-runs")
-    longest = runs.agg(F.coalesce(F.max("length"), F.lit(1))).first()[0]
-    names = stored(doubled(numbered, longest), "line-names")
-    size = F.length(F.bin("length")) - 1
-    wanted = runs.withColumn("level", size).withColumn(
-        "second", F.expr("start + length - cast(shiftleft(1, level) as int)")
-    )
-    head = names.select("row", "level", F.col("n").alias("start"), F.col("name").alias("head"))
-    tail = names.select("row", "level", F.col("n").alias("second"), F.col("name").alias("tail"))
+    suffixes = suffix_array(numbered.where("name is not null").select("row", "n", "name"), rows_per_piece)
+    begun = F.when(F.col("common") < F.col("length"), 1).otherwise(0).cast("bigint")
+    wanted = (
+        runs.join(suffixes.withColumnRenamed("n", "start"), ["row", "start"])
+        .where(F.col("left") >= F.col("length"))
+        .withColumns({"begun": begun, "piece": F.floor(F.col("position") / rows_per_piece)})
+    )
+    intervals = running_totals(stored(wanted, "line-wanted"), ["length"], "piece", ["position"], {"before": "begun"})
     named = stored(
-        wanted.join(head, ["row", "level", "start"])
-        .join(tail, ["row", "level", "second"])
-        .select("row", "start", "length", F.struct("doc_id", "row", "start").alias("place"), F.xxhash64("length", "head", "tail").alias("run")),
+        intervals.select(
+            "row",
+            "start",
+            "length",
+            F.struct("doc_id", "row", "start").alias("place"),
+            (F.col("before") + F.col("begun")).alias("run"),
+        ),
         "line-named",
     )
     first = stored(
-        named.groupBy("run").agg(F.min("place").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"),
+        named.groupBy("length", "run").agg(F.min("place").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"),
         "line-first",
     )
     deleted = (
-        named.join(first, "run")
+        named.join(first, ["length", "run"])
         .where("place > first")
         .select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("n"))
         .distinct()
@@ -165,8 +263,9 @@ def without_lines(text, deleted):
 
 
 def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with what later copies of line runs take from them."""
-    return repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("deleted")
+    """All documents with what later copies of line runs take from them; ``deleted`` joined by commas."""
+    found = repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.withColumn("deleted", F.array_join("deleted", ","))
 
 
 # Every run by its text, window by window.
@@ -175,7 +274,7 @@ WITH a AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   generate_subscripts(string_split(text, chr(10)), 1) AS pos
            FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
 w AS (SELECT doc_id, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM a),
-l AS (SELECT doc_id, line, words,
+l AS (SELECT doc_id, line, words, pos,
              row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS n,
              CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS BIGINT) AS total
       FROM w WHERE words > 0),
@@ -192,7 +291,8 @@ t AS (SELECT doc_id, s, e, array_to_string(lines[s + 1:e], chr(10)) AS run FROM
 d AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS copy FROM t),
 gone AS (SELECT DISTINCT doc_id, unnest(range(s, e)) AS n FROM d WHERE copy > 1)
 SELECT documents.doc_id, count(l.n) AS n_lines, count(gone.n) AS n_deleted,
-       CAST(coalesce(sum(l.words) FILTER (WHERE gone.n IS NOT NULL), 0) AS BIGINT) AS deleted_words
+       CAST(coalesce(sum(l.words) FILTER (WHERE gone.n IS NOT NULL), 0) AS BIGINT) AS deleted_words,
+       coalesce(string_agg(CAST(pos - 1 AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE gone.n IS NOT NULL), '') AS deleted
 FROM documents LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id, n)
 GROUP BY documents.doc_id
 """

@@ -400,6 +400,57 @@ def test_line_runs(spark):
     ]
 
 
+def test_suffix_array(spark):
+    """Order and common lines of neighbours against sorted suffixes of random stretches, with ties."""
+    rng = np.random.default_rng(11)
+    texts = [list(rng.integers(1, 3, int(n))) for n in rng.integers(1, 14, 25)] + [[1] * 30, [1, 2] * 12, [7, 8, 9] * 6]
+    texts += [texts[-1], texts[3], texts[3]]
+    gaps = [set(rng.integers(0, len(t), len(t) // 6)) if i % 2 else set() for i, t in enumerate(texts)]
+    lines = [(i, n, int(v)) for i, t in enumerate(texts) for n, v in enumerate(t) if n not in gaps[i]]
+    frame = spark.createDataFrame(lines, "row bigint, n int, name bigint").repartition(4)
+    found = sorted(as_dicts(linededup.suffix_array(frame, rows_per_piece=7)), key=lambda r: r["position"])
+    assert [r["position"] for r in found] == list(range(len(lines)))
+
+    def suffix(r):
+        end = min([g for g in gaps[r["row"]] if g > r["n"]], default=len(texts[r["row"]]))
+        return texts[r["row"]][r["n"] : end]
+
+    assert {(r["row"], r["n"]) for r in found} == {(i, n) for i, n, _ in lines}
+    for one, two in zip(found, found[1:]):
+        a, b = suffix(one), suffix(two)
+        common = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert two["common"] == common and two["left"] == len(b)
+        assert a < b or (a == b and (one["row"], one["n"]) < (two["row"], two["n"]))
+
+
+def test_line_runs_against_all_runs(spark):
+    """Deleted lines against every run of enough words with an earlier copy; ties, NULL ids, clashing columns."""
+    rng = np.random.default_rng(5)
+    pool = ["a", "a b", "c d e", "f g h i", "j", "k l", "  ", "m n o p q"]
+    texts = ["\n".join(pool[i] for i in rng.integers(0, len(pool), int(n))) for n in rng.integers(0, 14, 60)]
+    texts += [None, texts[8], texts[8], "a b\n" * 40, "\n".join(f"u{i} v" for i in range(300)) + "\n" + texts[9]]
+    texts += [texts[-1]]
+    made = [(None if i % 11 == 5 else 1000 - 7 * i if i % 2 else 7 * i, t, 1, 2, "x") for i, t in enumerate(texts)]
+    shape = "doc_id bigint, text string, row int, rank int, name string"
+    found = as_dicts(linededup.repeated_lines(spark.createDataFrame(made, shape), min_words=7, rows_per_piece=9))
+
+    order = sorted(range(len(made)), key=lambda i: (made[i][0] is not None, made[i][0] or 0, i))
+    seen, want = {}, []
+    for place, i in enumerate(order):
+        lines = [(at, line) for at, line in enumerate((made[i][1] or "").split("\n")) if words(line)]
+        gone = set()
+        for start in range(len(lines)):
+            count = 0
+            for end in range(start, len(lines)):
+                count += len(words(lines[end][1]))
+                run = tuple(line for _, line in lines[start : end + 1])
+                if count >= 7 and seen.setdefault(run, (place, start)) != (place, start):
+                    gone |= {at for at, _ in lines[start : end + 1]}
+        want.append((str(made[i][0]), len(lines), len(gone), tuple(sorted(gone))))
+    got = [(str(r["doc_id"]), r["n_lines"], r["n_deleted"], tuple(r["deleted"])) for r in found]
+    assert sorted(got) == sorted(want)
+
+
 def test_archives(spark, tmp_path):
     """A round trip with segments dealt over many files, in any order."""
     big = "é" * 20_000 + "\r\n\r\nWARC/1.1\r\n"
