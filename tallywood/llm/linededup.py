@@ -45,8 +45,8 @@ def minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
     return onward.union(back).distinct()
 
 
-def _next_ranks(ranked: DataFrame, shift: int, rows_per_piece: int) -> tuple[DataFrame, int]:
-    """Ranks by twice as many lines, and the number of different ones.
+def _next_ranks(ranked: DataFrame, shift: int, rows_per_piece: int) -> DataFrame:
+    """``row, n, left, rank, earlier``: ranks by twice as many lines, and by how much they grew.
 
     ``ranked`` (``row, n, left, rank``) is ordered by its first ``shift`` lines.
     Suffixes of one rank are told apart by the rank ``shift`` lines on; none
@@ -55,30 +55,28 @@ def _next_ranks(ranked: DataFrame, shift: int, rows_per_piece: int) -> tuple[Dat
     """
     along = Window.partitionBy("row").orderBy("n")
     there = F.lead("n", shift).over(along) == F.col("n") + shift
-    pairs = stored(
-        ranked.withColumn("after", F.when(there, F.lead("rank", shift).over(along)).otherwise(-1)), "line-pairs"
+    pairs = ranked.select(
+        "row", "n", "left", "rank", F.when(there, F.lead("rank", shift).over(along)).otherwise(-1).alias("after")
     )
     groups = pairs.groupBy("rank", "after").agg(F.count("*").alias("size"))
-    groups = stored(groups.withColumn("piece", F.floor(F.col("after") / rows_per_piece)), "line-groups")
+    groups = groups.withColumn("piece", F.floor(F.col("after") / rows_per_piece))
     earlier = running_totals(groups, ["rank"], "piece", ["after"], {"earlier": "size"})
     grown = pairs.join(earlier.select("rank", "after", "earlier"), ["rank", "after"])
-    return stored(grown.select("row", "n", "left", (F.col("rank") + F.col("earlier")).alias("rank")), "line-ranks"), groups.count()
+    return stored(grown.select("row", "n", "left", (F.col("rank") + F.col("earlier")).alias("rank"), "earlier"), "line-ranks")
 
 
-def suffix_levels(lines: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> list[DataFrame]:
+def suffix_levels(lines: DataFrame, depth: int, rows_per_piece: int = ROWS_PER_PIECE) -> list[DataFrame]:
     """``row, n, left, rank`` of all suffixes, by their first 1, 2, 4, ... lines.
 
     ``lines`` has ``row, n, name``; a suffix goes from a line to the end of its
     stretch of successive numbers, ``left`` lines on.  Equal ranks are equal
-    beginnings, and the last table has the suffix order but for suffixes that
-    are equal to their ends.  Prefix doubling stops once no rank is split; the
-    rounds grow with the logarithm of the longest repeated stretch.
+    beginnings; a rank counts the suffixes before it.  Prefix doubling stops
+    once ``depth`` lines are looked at, or no rank is split.
     """
     along = Window.partitionBy("row").orderBy("n")
     stretch = Window.partitionBy("row", F.col("n") - F.col("k"))
     counts = stored(lines.groupBy("name").agg(F.count("*").alias("size")), "line-sizes")
-    different = counts.count()
-    bits = piece_bits(different, rows_per_piece)
+    bits = piece_bits(counts.count(), rows_per_piece)
     first = running_totals(counts.withColumn("piece", hash_piece(F.col("name"), bits)), [], "piece", ["name"], {"rank": "size"})
     levels = [
         stored(
@@ -88,72 +86,44 @@ def suffix_levels(lines: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> lis
             "line-ranks",
         )
     ]
-    while different:
-        ranked, now = _next_ranks(levels[-1], 1 << (len(levels) - 1), rows_per_piece)
-        if now == different:
+    while 1 << (len(levels) - 1) < depth:
+        ranked = _next_ranks(levels[-1], 1 << (len(levels) - 1), rows_per_piece)
+        if ranked.where("earlier > 0").isEmpty():
             break
-        levels, different = [*levels, ranked], now
+        levels.append(ranked.drop("earlier"))
     return levels
 
 
-def suffix_array(lines: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
-    """``row, n, left, position, common``: every suffix of :func:`suffix_levels` in order.
+def common_prefixes(levels: list[DataFrame]) -> DataFrame:
+    """``rank, common``: how many first lines each rank of the last level shares with the rank before.
 
-    Suffixes equal to their ends are ordered by row and number.  ``common``
-    counts the first lines that a suffix shares with the one a position before.
-    Where the lines before both are equal too, it is one less than that of the
-    line before; so it is looked up for the others only, and carried on along
-    the text.  Equal ranks of the last level are equal to their ends; others
-    share fewer lines than it looks at, found by descending the levels.
+    One suffix stands for all of a rank.  Two ranks share fewer lines than the
+    last level looks at; how many is found by descending the levels.
     """
-    levels = suffix_levels(lines, rows_per_piece)
-    along = Window.partitionBy("row").orderBy("n")
-    before = F.when(F.lag("n").over(along) == F.col("n") - 1, F.lag("rank").over(along))
-    lined = levels[0].select("row", "n", before.alias("before"))
-    tied = running_totals(
-        levels[-1].join(lined, ["row", "n"]).withColumns(
-            {"piece": F.floor(F.col("row") / rows_per_piece), "one": F.lit(1).cast("bigint")}
-        ),
-        ["rank"],
-        "piece",
-        ["row", "n"],
-        {"tied": "one"},
-    )
-    order = stored(
-        tied.select("row", "n", "left", "before", (F.col("rank") + F.col("tied")).alias("position")), "line-order"
+    ranks = stored(
+        levels[-1].groupBy("rank").agg(F.count("*").alias("size"), F.min(F.struct("row", "n")).alias("at")), "line-groups"
     )
-    neighbour = order.select(
-        (F.col("position") + 1).alias("position"), F.col("row").alias("row_2"), F.col("n").alias("n_2"), F.col("before").alias("before_2")
+    before = ranks.select(
+        (F.col("rank") + F.col("size")).alias("rank"), F.col("at.row").alias("row_2"), F.col("at.n").alias("n_2")
     )
-    pairs = order.join(neighbour, "position").where("before is null or before_2 is null or before <> before_2")
-    last = levels[-1]
-    same = last.select(F.col("row").alias("row_2"), F.col("n").alias("n_2"), F.col("rank").alias("rank_2"))
-    to_end = F.when(F.col("rank") == F.col("rank_2"), F.col("left")).otherwise(0)
-    pairs = stored(
-        pairs.select("row", "n", "row_2", "n_2")
-        .join(last, ["row", "n"])
-        .join(same, ["row_2", "n_2"])
-        .select("row", "n", "row_2", "n_2", to_end.alias("common")),
-        "line-neighbours",
+    pairs = ranks.join(before, "rank", "left").select(
+        F.col("rank").alias("place"), "at.row", F.col("at.n").alias("n"), "row_2", "n_2", F.lit(0).alias("common")
     )
     for k, level in reversed(list(enumerate(levels[:-1]))):
         whole = level.where(F.col("left") >= 1 << k)
-        one = whole.select("row", F.col("n").alias("at"), "rank")
-        two = whole.select(F.col("row").alias("row_2"), F.col("n").alias("at_2"), F.col("rank").alias("rank_2"))
+        one = whole.select("row", "n", "rank")
+        two = whole.select(F.col("row").alias("row_2"), F.col("n").alias("n_2"), F.col("rank").alias("rank_2"))
+        step = F.when(F.col("rank") == F.col("rank_2"), 1 << k).otherwise(0)
         pairs = stored(
-            pairs.withColumns({"at": F.col("n") + F.col("common"), "at_2": F.col("n_2") + F.col("common")})
-            .join(one, ["row", "at"], "left")
-            .join(two, ["row_2", "at_2"], "left")
+            pairs.join(one, ["row", "n"], "left")
+            .join(two, ["row_2", "n_2"], "left")
             .select(
-                "row", "n", "row_2", "n_2",
-                (F.col("common") + F.when(F.col("rank") == F.col("rank_2"), 1 << k).otherwise(0)).alias("common"),
+                "place", "row", (F.col("n") + step).alias("n"), "row_2", (F.col("n_2") + step).alias("n_2"),
+                (F.col("common") + step).alias("common"),
             ),
             "line-common",
         )
-    first = order.where("position = 0").select("row", "n", F.col("n").alias("end"))
-    ends = pairs.select("row", "n", (F.col("n") + F.col("common")).alias("end")).union(first)
-    end = F.last("end", ignorenulls=True).over(along)
-    return order.join(ends, ["row", "n"], "left").select("row", "n", "left", "position", (end - F.col("n")).alias("common"))
+    return pairs.select(F.col("place").alias("rank"), "common")
 
 
 def repeated_lines(
@@ -171,13 +141,14 @@ def repeated_lines(
     deleted: ``deleted`` has their numbers, counting all lines from 0.  Runs do
     not cross texts.  Lines are told apart by 64-bit hashes.
 
-    Lines that occur more than once make a suffix array over all texts, by
-    prefix doubling (:func:`suffix_array`); no run goes on beyond another line.
-    Where a suffix shares fewer lines with the one before it than a run has, an
-    interval of equal runs of that length begins; its earliest run stays.
-    Every maximal repeated run is the union of the shortest runs of enough
-    words in it, and the intervals are looked up at their lengths.  The lines
-    of one text are numbered in one task, as its text is one row.
+    The suffixes of all texts, of lines that occur more than once, are put in
+    order by prefix doubling (:func:`suffix_levels`), as deep as the longest
+    run looked up, at most ``min_words`` lines.  Where neighbours share fewer
+    lines than a run has, an interval of equal runs of that length begins; its
+    earliest run stays.  Every maximal repeated run is the union of the
+    shortest runs of enough words in it, and the intervals are looked up at
+    their lengths.  The lines of one text are numbered in one task, as its text
+    is one row.
 
     A NULL or empty text has no lines.  Of repeated rows, one comes first and
     the others are its copies.  A NULL id comes before all others.  No rows
@@ -202,30 +173,31 @@ def repeated_lines(
     # Texts without any repeated line are done.
     bounds = numbered.select("row", "doc_id", "n", "total").unionByName(ends.where("known > 0").drop("known"))
     runs = stored(minimal_runs(bounds, min_words), "line-runs")
-    suffixes = suffix_array(numbered.where("name is not null").select("row", "n", "name"), rows_per_piece)
-    begun = F.when(F.col("common") < F.col("length"), 1).otherwise(0).cast("bigint")
-    wanted = (
-        runs.join(suffixes.withColumnRenamed("n", "start"), ["row", "start"])
+    longest = runs.agg(F.coalesce(F.max("length"), F.lit(1))).first()[0]
+    levels = suffix_levels(numbered.where("name is not null").select("row", "n", "name"), longest, rows_per_piece)
+    suffixes = levels[-1].withColumnRenamed("n", "start")
+    wanted = stored(
+        runs.join(suffixes, ["row", "start"])
         .where(F.col("left") >= F.col("length"))
-        .withColumns({"begun": begun, "piece": F.floor(F.col("position") / rows_per_piece)})
+        .select("row", "start", "length", "rank", F.struct("doc_id", "row", "start").alias("place")),
+        "line-wanted",
     )
-    intervals = running_totals(stored(wanted, "line-wanted"), ["length"], "piece", ["position"], {"before": "begun"})
-    named = stored(
-        intervals.select(
-            "row",
-            "start",
-            "length",
-            F.struct("doc_id", "row", "start").alias("place"),
-            (F.col("before") + F.col("begun")).alias("run"),
-        ),
-        "line-named",
+    alike = wanted.groupBy("length", "rank").agg(F.min("place").alias("first"), F.count("*").alias("times"))
+    begun = F.when(F.col("common") < F.col("length"), 1).otherwise(0).cast("bigint")
+    alike = alike.join(common_prefixes(levels), "rank").withColumns(
+        {"begun": begun, "piece": F.floor(F.col("rank") / rows_per_piece)}
     )
-    first = stored(
-        named.groupBy("length", "run").agg(F.min("place").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"),
-        "line-first",
+    intervals = running_totals(stored(alike, "line-alike"), ["length"], "piece", ["rank"], {"before": "begun"})
+    named = stored(intervals.withColumn("run", F.col("before") + F.col("begun")).select("length", "rank", "run", "first", "times"), "line-named")
+    runs_first = (
+        named.groupBy("length", "run")
+        .agg(F.min("first").alias("first"), F.sum("times").alias("times"))
+        .where("times > 1")
+        .drop("times")
     )
+    first = named.select("length", "rank", "run").join(runs_first, ["length", "run"]).select("length", "rank", "first")
     deleted = (
-        named.join(first, ["length", "run"])
+        wanted.join(first, ["length", "rank"])
         .where("place > first")
         .select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("n"))
         .distinct()

@@ -401,26 +401,31 @@ def test_line_runs(spark):
 
 
 def test_suffix_array(spark):
-    """Order and common lines of neighbours against sorted suffixes of random stretches, with ties."""
+    """Order, common lines and levels against sorted suffixes of random stretches, with ties."""
     rng = np.random.default_rng(11)
     texts = [list(rng.integers(1, 3, int(n))) for n in rng.integers(1, 14, 25)] + [[1] * 30, [1, 2] * 12, [7, 8, 9] * 6]
     texts += [texts[-1], texts[3], texts[3]]
     gaps = [set(rng.integers(0, len(t), len(t) // 6)) if i % 2 else set() for i, t in enumerate(texts)]
     lines = [(i, n, int(v)) for i, t in enumerate(texts) for n, v in enumerate(t) if n not in gaps[i]]
     frame = spark.createDataFrame(lines, "row bigint, n int, name bigint").repartition(4)
-    found = sorted(as_dicts(linededup.suffix_array(frame, rows_per_piece=7)), key=lambda r: r["position"])
-    assert [r["position"] for r in found] == list(range(len(lines)))
+    levels = linededup.suffix_levels(frame, 100, rows_per_piece=7)
+    common = {r["rank"]: r["common"] for r in linededup.common_prefixes(levels).collect()}
+    found = sorted(as_dicts(levels[-1]), key=lambda r: r["rank"])
 
     def suffix(r):
         end = min([g for g in gaps[r["row"]] if g > r["n"]], default=len(texts[r["row"]]))
         return texts[r["row"]][r["n"] : end]
 
     assert {(r["row"], r["n"]) for r in found} == {(i, n) for i, n, _ in lines}
-    for one, two in zip(found, found[1:]):
+    for at, (one, two) in enumerate(zip(found, found[1:]), 1):
         a, b = suffix(one), suffix(two)
-        common = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        assert two["common"] == common and two["left"] == len(b)
-        assert a < b or (a == b and (one["row"], one["n"]) < (two["row"], two["n"]))
+        shared = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert two["left"] == len(b)
+        assert (one["rank"] == two["rank"]) if a == b else (a < b and two["rank"] == at and common[at] == shared)
+    assert common[0] == 0
+    for k, level in enumerate(levels):
+        begun = Counter((r["rank"], tuple(suffix(r)[: 1 << k])) for r in as_dicts(level))
+        assert len({rank for rank, _ in begun}) == len(begun) == len({b for _, b in begun})
 
 
 def test_line_runs_against_all_runs(spark):
