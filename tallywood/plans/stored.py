@@ -15,7 +15,7 @@ from tallywood.functions.text import matched
 from tallywood.operators import durations, levels, usage
 from tallywood.operators.parsing import profile_files
 from tallywood.plans import jobs
-from tallywood.sinks.files import write_table
+from tallywood.sinks.files import write_line_files, write_table
 from tallywood.sources import inventory, results, trip_files
 from tallywood.sources.event_log import log_lines_from_events
 from tallywood.sources.log_files import read_log_lines, read_positioned_log_lines
@@ -65,7 +65,7 @@ def container_files(spark: SparkSession, folder: str) -> str:
     """
     path = F.col("file_path")
     target = shared_folder(spark)
-    (
+    lines = (
         _lines(spark, folder)
         .select(
             "event_id",
@@ -75,10 +75,8 @@ def container_files(spark: SparkSession, folder: str) -> str:
         )
         .repartition("application", "container")
         .sortWithinPartitions("application", "container", "event_id")
-        .select("value", "application", "container")
-        .write.partitionBy("application", "container")
-        .text(target)
     )
+    write_line_files(lines, target, ["application", "container"])
     return target
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallywood.operators import usage
 from tallywood.operators.parsing import parse_lines, profile_files
 from tallywood.plans import jobs
-from tallywood.sinks.files import write_report, write_table
+from tallywood.sinks.files import write_line_files, write_report, write_table
 from tallywood.sources import inventory, results, trip_files
 from tallywood.sources.results import read_result
 from tallywood.sources.trip_files import profile_columns, read_months
@@ -275,3 +275,32 @@ def test_months_are_folders(spark, tmp_path):
 def test_column_profile(spark):
     frame = spark.createDataFrame([(1, None), (None, None), (2, "x")], "`a.b` int, c string")
     assert [tuple(r) for r in profile_columns(frame).collect()] == [(0, "a.b", "int", 3, 1), (1, "c", "string", 3, 2)]
+
+
+def test_line_files_equal_those_of_spark(spark, tmp_path):
+    """Folders, names and texts as of ``partitionBy``, one file each, and none beside them."""
+    made = [("a", "1", "x"), ("a", "1", None), ("a", "2", "caf\u00e9 \u2713"), ("a:=%/b", "1", ""), (None, None, "none"), ("a", "1", "y")] * 30
+    lines = spark.createDataFrame(made, "k string, j string, value string").repartition("k", "j").sortWithinPartitions("k", "j")
+
+    def found(root):
+        files = [f for f in Path(root).rglob("*") if f.is_file() and not f.name.endswith("crc") and f.name != "_SUCCESS"]
+        return {str(f.parent.relative_to(root)): sorted(f.read_text().split("\n")) for f in files}, len(files)
+
+    lines.write.partitionBy("k", "j").text(f"{tmp_path}/spark")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            write_line_files(lines, f"file:{tmp_path}/own{batch}", ["k", "j"])
+            assert found(f"{tmp_path}/own{batch}") == found(f"{tmp_path}/spark")
+            # No checksum file and nothing else: each would be another process for a file.
+            assert sum(f.is_file() for f in (tmp_path / f"own{batch}").rglob("*")) == 4
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    with pytest.raises(FileExistsError):
+        write_line_files(lines, f"{tmp_path}/own7", ["k", "j"])
+
+
+def test_line_files_of_nothing(spark, tmp_path):
+    write_line_files(spark.createDataFrame([], "k string, value string"), f"{tmp_path}/none", ["k"])
+    assert inventory.list_files(spark, f"{tmp_path}/none").count() == 0
