@@ -48,7 +48,7 @@ def log_text_scan(spark: SparkSession, folder: str) -> DataFrame:
         "value", matched(F.col("file_path"), P.APPLICATION_ID).alias("application")
     )
     target = shared_folder(spark)
-    lines.hint("rebalance", "application").write.partitionBy("application").text(target)
+    write_line_files(lines.hint("rebalance", "application").sortWithinPartitions("application"), target, ["application"])
     scanned = read_log_lines(spark, f"{target}/application=*")
     return (
         profile_files(scanned)
