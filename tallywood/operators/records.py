@@ -168,75 +168,85 @@ def record_pieces(lines: DataFrame, lines_per_part: int = LINES_PER_PART) -> Dat
 
 
 def _piece_rows(lines_per_part: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """See :func:`record_pieces`; a task holds the lines of one part besides a batch."""
+    """See :func:`record_pieces`; a task holds the lines of one part besides a batch.
+
+    All pieces of a batch are handled at once, so that many small files cost no more than a large one.
+    """
     names = [f.split()[0] for f in PIECES.split(", ")]
 
-    def rows(where: tuple, heads: np.ndarray, kind: str, text: pa.Array | None, *numbers: np.ndarray) -> pa.RecordBatch:
-        """``heads`` says which rows are of that kind, others of ``kind``."""
-        n = len(heads)
-        kinds = pc.if_else(pa.array(heads), "head", kind)
-        same = [pa.repeat(pa.scalar(w, t), n) for w, t in zip(where, (pa.int64(), pa.string(), pa.int64()))]
+    def rows(where: list[pa.Array], kinds: np.ndarray, text: pa.Array | None, *numbers: np.ndarray) -> pa.RecordBatch:
         found = [pa.array(np.asarray(c, dtype=np.int64)) for c in numbers]
-        none = pa.nulls(n, pa.string())
-        edges = heads | (kind == "tail")
-        if text is None or edges.all():
-            texts = [none, none if text is None else text]
-        elif not edges.any():
-            texts = [text, none]
-        else:
-            texts = [pc.if_else(pa.array(edges), none, text), pc.if_else(pa.array(edges), text, none)]
-        return pa.RecordBatch.from_arrays([kinds, *same, *found, *texts], names=names)
+        none = pa.nulls(len(kinds), pa.string())
+        edges = pa.array((kinds == "head") | (kinds == "tail"))
+        texts = [none, none] if text is None else [pc.if_else(edges, none, text), pc.if_else(edges, text, none)]
+        return pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), *where, *found, *texts], names=names)
 
     def joined(values: pa.Array, firsts: np.ndarray) -> pa.Array:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), values), "\n")
 
+    def kinds_of(at: np.ndarray, last: np.ndarray, num_lines: np.ndarray) -> np.ndarray:
+        """``last``: of its piece."""
+        return np.where(at == 0, "head", np.where(last & (num_lines < lines_per_part), "tail", "inside")).astype(object)
+
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, line, at = None, 0, 0
+        where, line, at = None, 0, 0  # of the open piece
         held: list[pa.Array] = []
         key = (0, 0, 0)  # of the held lines: at, part, line
 
         def flushed(last: bool) -> pa.RecordBatch:
             values = pa.concat_arrays(held)
-            open_end = last and len(values) < lines_per_part
-            text = joined(values, np.array([0, len(values)]))
-            return rows(where, np.array([key[0] == 0]), "tail" if open_end else "inside", text, *([k] for k in key), [len(values)])
+            kinds = kinds_of(np.array([key[0]]), np.array([last]), np.array([len(values)]))
+            return rows(where, kinds, joined(values, np.array([0, len(values)])), *([k] for k in key), [len(values)])
 
-        def ended() -> Iterator[pa.RecordBatch]:
-            if where is not None:
-                yield flushed(last=True)
-                yield rows(where, np.array([False]), "size", None, [at], [0], [0], [line])
+        def sizes(where: list[pa.Array], at: np.ndarray, num_lines: np.ndarray) -> pa.RecordBatch:
+            zero = np.zeros(len(at))
+            return rows(where, np.full(len(at), "size", dtype=object), None, at, zero, zero, num_lines)
 
         for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
             pieces = batch.column(1).to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]])) if len(pieces) else []
-            for a, b in zip(cuts, [*cuts[1:], len(pieces)]):
-                if where is None or pieces[a] != where[0]:
-                    yield from ended()
-                    where, line, at, held = tuple(batch.column(i)[a].as_py() for i in (1, 2, 3)), 0, 0, []
-                values = batch.column(0).slice(a, b - a).fill_null("")
-                numbers = line + np.arange(1, len(values) + 1)
-                stamped = pc.match_substring_regex(values, P.STAMP_AT_START).to_numpy(zero_copy_only=False)
-                owns = np.maximum.accumulate(np.where(stamped, numbers, at))
-                parts = (numbers - np.maximum(owns, 1)) // lines_per_part
-                line, at = line + len(values), int(owns[-1])
-                new = np.ones(len(owns), dtype=bool)
-                new[1:] = (owns[1:] != owns[:-1]) | (parts[1:] != parts[:-1])
-                new[0] = not held or (int(owns[0]), int(parts[0])) != key[:2]
-                firsts = np.flatnonzero(new)
-                if not len(firsts):
-                    held.append(values)
-                    continue
-                if held:
-                    held.append(values.slice(0, int(firsts[0])))
-                    yield flushed(last=False)
-                if len(firsts) > 1:
-                    done = firsts[:-1]
-                    yield rows(
-                        where, owns[done] == 0, "inside", joined(values, firsts), owns[done], parts[done], numbers[done], np.diff(firsts)
-                    )
-                tail = int(firsts[-1])
-                held, key = [values.slice(tail)], (int(owns[tail]), int(parts[tail]), int(numbers[tail]))
-        yield from ended()
+            starts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]]))
+            if held and pieces[0] != where[0][0].as_py():
+                yield flushed(last=True)
+                yield sizes(where, np.array([at]), np.array([line]))
+                line, at, held = 0, 0, []
+
+            def named(rows: np.ndarray) -> list[pa.Array]:
+                return [batch.column(i).take(pa.array(rows)) for i in (1, 2, 3)]  # noqa: B023
+
+            values = batch.column(0).fill_null("")
+            begin = np.repeat(starts, np.diff([*starts, n]))
+            numbers = np.arange(1, n + 1) - begin + np.where(begin == 0, line, 0)
+            stamped = pc.match_substring_regex(values, P.STAMP_AT_START).to_numpy(zero_copy_only=False)
+            stamp = np.maximum.accumulate(np.where(stamped, np.arange(n), -1))
+            owns = np.where(stamp >= begin, numbers[stamp], np.where(begin == 0, at, 0))
+            parts = (numbers - np.maximum(owns, 1)) // lines_per_part
+            line, at = int(numbers[-1]), int(owns[-1])
+            new = np.ones(n, dtype=bool)
+            new[1:] = (begin[1:] != begin[:-1]) | (owns[1:] != owns[:-1]) | (parts[1:] != parts[:-1])
+            new[0] = not held or (int(owns[0]), int(parts[0])) != key[:2]
+            firsts = np.flatnonzero(new)
+            if not len(firsts):
+                held.append(values)
+                continue
+            if held:
+                held.append(values.slice(0, int(firsts[0])))
+                yield flushed(last=int(firsts[0]) in starts[1:])
+            if len(firsts) > 1:
+                done, num_lines = firsts[:-1], np.diff(firsts)
+                kinds = kinds_of(owns[done], np.isin(firsts[1:], starts), num_lines)
+                yield rows(named(done), kinds, joined(values, firsts), owns[done], parts[done], numbers[done], num_lines)
+            if len(starts) > 1:
+                ends = starts[1:] - 1
+                yield sizes(named(ends), owns[ends], numbers[ends])
+            tail = int(firsts[-1])
+            held, key = [values.slice(tail)], (int(owns[tail]), int(parts[tail]), int(numbers[tail]))
+            where = named(np.array([tail]))
+        if held:
+            yield flushed(last=True)
+            yield sizes(where, np.array([at]), np.array([line]))
 
     return assemble
 

@@ -148,3 +148,16 @@ def test_no_lines(spark, tmp_path):
     (tmp_path / "empty.log").write_text("")
     jobs.store_records(read_positioned_log_lines(spark, str(tmp_path / "empty.log")), str(tmp_path / "out"))
     assert rows(jobs.read_records(spark, str(tmp_path / "out"))) == []
+
+
+def test_a_task_takes_many_small_files(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for i in range(600):
+        (logs / f"{i}.log").write_text(f"{STAMP}{i}\n  more\n")
+    setting = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(setting)
+    jobs.store_records(read_positioned_log_lines(spark, str(logs)), str(tmp_path / "out"))
+    assert spark.conf.get(setting) == before
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) <= 9
+    assert sorted(r.text for r in jobs.read_records(spark, str(tmp_path / "out")).collect()) == sorted(f"{STAMP}{i}\n  more" for i in range(600))
