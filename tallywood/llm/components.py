@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.llm.tables import stored
+from tallywood.llm.tables import narrowed, stored
 
+# Links that a task takes at least, where there are so many.
+EACH = 50_000
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
+
+def _star(links: DataFrame, large: bool, n_links: int) -> DataFrame:
     """Links ``high, low`` moved to the least neighbour of one of their ends.
 
     Large: the greater neighbours of a node go to the least of its whole
@@ -19,12 +22,10 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     seen = links
     if large:
         seen = links.union(links.select(F.col("low"), F.col("high")))
-    least = stored(
-        seen.groupBy(F.col("high").alias("node")).agg(F.least(F.min("low"), F.first("high")).alias("least"))
-        if large
-        else seen.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least")),
-        "star-least",
+    least = seen.groupBy(F.col("high").alias("node")).agg(
+        F.least(F.min("low"), F.first("high")).alias("least") if large else F.min("low").alias("least")
     )
+    least = stored(narrowed(least, n_links, EACH), "star-least")
     met = seen.join(least, F.col("high") == F.col("node"))
     if large:
         moved = met.where("low > high").select(F.col("low").alias("high"), F.col("least").alias("low"))
@@ -32,7 +33,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         moved = met.select(F.col("low").alias("high"), F.col("least").alias("low")).union(
             least.select("node", "least")
         )
-    return stored(moved.where("high <> low").distinct(), "star-links")
+    return stored(narrowed(moved.where("high <> low").distinct(), n_links, EACH), "star-links")
 
 
 def _state(links: DataFrame) -> tuple:
@@ -48,10 +49,11 @@ def components(links: DataFrame) -> DataFrame:
     the links a few times and nothing passes through the driver but their
     number; the rounds grow with the logarithm of the longest chain.
     """
-    links = stored(links.distinct(), "star-links")
+    links = stored(links, "star-links")
+    links = stored(narrowed(links.distinct(), links.count(), EACH), "star-links")
     state = _state(links)
     while state[0]:
-        links = _star(_star(links, large=True), large=False)
+        links = _star(_star(links, True, state[0]), False, state[0])
         before, state = state, _state(links)
         if before == state:
             break

@@ -23,18 +23,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywood.llm.components import components
-from tallywood.llm.tables import stored
+from tallywood.llm.tables import narrowed, stored
 from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
 
 SIZE, LEAST = 5, 75  # words of a shingle; similarity in percent
 FAMILIES, BLOCK_SHINGLES, SPARE = 6, 300_000, 0.08
-#: Bytes of text whose signatures a task holds at a time.
-PIECE_BYTES = 8 << 20
+#: Bytes of text whose signatures meet in one task at most, in the mean, and signatures that a task deals out at once.
+PIECE_BYTES, DEALT = 8 << 20, 1_000_000
 MARK_BITS = 25
 SKETCH_BITS = 10
 SKETCH = (1 << SKETCH_BITS) // 64
 # Sets of each group compared with the rest of it in the first round; each later round takes so many times more.
 HUBS = 16
+# Pairs of sets that a task compares at least, where there are so many.
+COMPARED = 500
 WORDS = [f"w{i}" for i in range(SKETCH)]
 # Shingles in so many of so many sampled texts are common.
 SAMPLE, COMMON = 10_000, 5
@@ -223,15 +225,15 @@ def allowance(least: int) -> list[int]:
     return [s.shared - 1 if s else 0 for s in shapes]
 
 
-SENT = "part int, piece bigint, slot int, sign binary, mark binary, size binary, doc_id binary"
+SENT = "part int, slot binary, sign binary, mark binary, size binary, doc_id binary"
 MET = "kind int, slot int, sign bigint, mark bigint, size bigint, n bigint, doc_id bigint"
 NO_ID = np.iinfo(np.int64).min
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
     names = [f.split()[0] for f in SENT.split(", ")]
-    columns = list(zip(*rows)) if rows else [()] * 7
-    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*rows)) if rows else [()] * 6
+    kinds = [pa.int32(), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
@@ -279,50 +281,69 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
     return np.sort(found["shingle"].to_numpy(dtype=np.int64).view(U))
 
 
-def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
-    """Rows of kind 0, ``doc_id, mark, size`` of each document, and of kind 1: signatures of several sets.
+def dealt(docs: DataFrame, parts: int, size: int, least: int, common: np.ndarray) -> DataFrame:
+    """Signatures by the part they go to, and a row with ``doc_id, mark, size`` of the documents of each block.
 
-    Equal sets count once in a task, and once where signatures meet.  Signatures
-    are dealt to ``parts`` tasks in pieces that the tasks sort, where Spark can
-    spill, and hold one after the other: pieces grow in number with the text.
+    A row holds all that a million signatures of a task have for one part,
+    whatever their slots, so there are as many rows as such rounds times parts.
     """
-    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    common = common_shingles(docs, size, n_docs)
-    pieces = parts * max(1, -(-n_bytes // (PIECE_BYTES * parts)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
+        held: list[list[np.ndarray]] = []
+        pending = 0
+
+        def out() -> pa.RecordBatch:
+            slot, signs, mark, count = (np.concatenate(h) for h in zip(*held))
+            held.clear()
+            order = np.argsort(slot, kind="stable")
+            part = ((signs >> U(32)) % U(parts)).astype(np.uint16 if parts < 65_536 else np.int64)
+            order = order[np.argsort(part[order], kind="stable")]
+            part, arrays = part[order].astype(np.int64), [a[order] for a in (slot, signs, mark, count)]
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            return _sent([(int(part[a]), *[x[a:b].tobytes() for x in arrays], b"") for a, b in zip(cuts, cuts[1:])])
+
         for number, (ids, rows, hashes, sizes, marks) in enumerate(_blocks(batches, size)):
             texts = (marks.tobytes(), sizes.astype(np.int32).tobytes(), _as_numbers(ids).tobytes())
-            yield _sent([((task + number) % parts, -1, -1, b"", *texts)])
+            yield _sent([((task + number) % parts, b"", b"", *texts)])
             first = np.zeros(len(marks), dtype=bool)
             first[np.unique(marks, return_index=True)[1]] = True
             keep = first[rows]
             for slot, at, signs in set_signatures(rows[keep], hashes[keep], np.where(first, sizes, 0), least, common):
-                piece = ((signs >> U(32)) % U(pieces)).astype(np.int64)
-                order = np.argsort(piece, kind="stable")
-                piece, signs, mark, count = piece[order], signs[order], marks[at[order]], sizes[at[order]].astype(np.int32)
-                cuts = np.flatnonzero(np.diff(piece, prepend=-1, append=-1))
-                yield _sent(
-                    [
-                        (int(piece[a] % parts), int(piece[a]), slot, signs[a:b].tobytes(), mark[a:b].tobytes(), count[a:b].tobytes(), b"")
-                        for a, b in zip(cuts, cuts[1:])
-                    ]
-                )
+                held.append([np.full(len(signs), slot, dtype=np.uint16), signs, marks[at], sizes[at].astype(np.int32)])
+                pending += len(signs)
+            if pending > DEALT:
+                yield out()
+                pending = 0
+        if pending:
+            yield out()
+
+    return docs.mapInArrow(send, SENT)
+
+
+def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
+    """Rows of kind 0, ``doc_id, mark, size`` of each document, and of kind 1: signatures of several sets.
+
+    Equal sets count once in a task, and once where signatures meet.  Signatures
+    are dealt to ``parts`` tasks, or more where the text is larger, so that what
+    a task holds does not grow with the text.
+    """
+    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    common = common_shingles(docs, size, n_docs)
+    parts = max(parts, -(-n_bytes // PIECE_BYTES))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in MET.split(", ")]
         held: dict[int, list[list[np.ndarray]]] = {}
-        current = -1
         for batch in batches:
-            for piece, slot, sign, mark, count, ids in zip(batch.column("piece").to_pylist(), batch.column("slot").to_pylist(), *[batch.column(c) for c in ("sign", "mark", "size", "doc_id")]):
-                sign, mark = np.frombuffer(sign.as_buffer(), dtype=U), np.frombuffer(mark.as_buffer(), dtype=np.int64)
+            for slot, sign, mark, count, ids in zip(*[batch.column(c) for c in ("slot", "sign", "mark", "size", "doc_id")]):
+                slot, sign = np.frombuffer(slot.as_buffer(), dtype=np.uint16), np.frombuffer(sign.as_buffer(), dtype=U)
+                mark = np.frombuffer(mark.as_buffer(), dtype=np.int64)
                 count = np.frombuffer(count.as_buffer(), dtype=np.int32).astype(np.int64)
-                if slot >= 0:
-                    if piece != current:
-                        yield from several_of(held, names)
-                        current = piece
-                    held.setdefault(slot, []).append([sign, mark, count])
+                if len(slot):
+                    cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1), len(slot)]
+                    for a, b in zip(cuts, cuts[1:]):
+                        held.setdefault(int(slot[a]), []).append([sign[a:b], mark[a:b], count[a:b]])
                     continue
                 number = np.frombuffer(ids.as_buffer(), dtype=np.int64)
                 none = pa.nulls(len(mark), pa.int64())
@@ -363,7 +384,7 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
                 )
 
     return stored(
-        docs.mapInArrow(send, SENT).repartitionById(parts, F.col("part")).sortWithinPartitions("piece").mapInArrow(group, MET),
+        dealt(docs, parts, size, least, common).repartitionById(parts, F.col("part")).mapInArrow(group, MET),
         "jaccard-met",
     )
 
@@ -442,9 +463,8 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
     one = sets.select(F.col("mark").alias("low"), F.col("shingles").alias("of_low"))
     other = sets.select(F.col("mark").alias("high"), F.col("shingles").alias("of_high"))
-    return pairs.join(other, "high").join(one, "low").select("low", "high", "of_low", "of_high").mapInArrow(
-        compare, "low bigint, high bigint"
-    )
+    met = pairs.join(other, "high").join(one, "low").select("low", "high", "of_low", "of_high")
+    return narrowed(met, pairs.count(), COMPARED).mapInArrow(compare, "low bigint, high bigint")
 
 
 def jaccard_components(
@@ -468,8 +488,10 @@ def jaccard_components(
     more than one.  Then each set is compared with one other, of the sets that
     come first in its groups (the sets with one signature) that which it shares
     most groups with, and the links so far become components.  Groups whose
-    sets lie in one component are done.  Of the others, the first 16, then
-    the next 256, ... sets are compared with those of other components; a sketch
+    sets lie in one component are done.  In the others each set is compared once
+    more with one, the closest by sketch; then all sets outside the group's
+    largest component, some 16, then 256, ... at a time in an order given by
+    hashes, are compared with those of other components; a sketch
     of 1,024 parities, in which sets never differ more than in their shingles,
     rules out most pairs before sets are sent.  So every link is found or lies
     within a component already, while a large group of near copies costs about
@@ -478,7 +500,7 @@ def jaccard_components(
     groups are told apart by hashes of 64 bits or more.
 
     ``parts`` (default: the session's shuffle partitions) divides the
-    signatures; a task holds those of some 8 MB of text at a time.  Documents without id take part but do
+    signatures at least; a task holds those of some 8 MB of text.  Documents without id take part but do
     not name a component, which is NULL if none of its documents has an id.
     Repeated rows get a row each.  No rows give no rows.  Other columns are not
     read.
@@ -520,6 +542,8 @@ def jaccard_components(
 def _linked_components(source: DataFrame, members: DataFrame, size: int, least: int) -> DataFrame:
     """``node, component`` of all linked sets, see :func:`jaccard_components`."""
     like = F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * least
+    # By the set alone, so that its groups have the same sets to compare the others with.
+    turn = F.shiftrightunsigned(F.xxhash64("mark"), 11) / F.lit(float(1 << 53))
     apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"hub_{w}"))) for w in WORDS), F.lit(0))
     near = apart * (100 + least) <= (F.col("size") + F.col("hub_size")) * (100 - least)
     hubs = stored(
@@ -544,8 +568,17 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
     sets = sets_of(source, stored(left.select("mark").distinct(), "jaccard-used"), size)
     links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
     tried = pairs
-    hubs_at_once = HUBS
+    hubs_at_once, closest_next = HUBS, True
     labels = components(links)
+
+    def extended(pairs: DataFrame) -> DataFrame:
+        """``labels`` with the links among ``pairs``."""
+        links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
+        if links.isEmpty():
+            return labels
+        stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
+        return components(stars.union(links))
+
     while True:
         placed = stored(
             left.join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
@@ -555,47 +588,62 @@ def _linked_components(source: DataFrame, members: DataFrame, size: int, least:
         )
         # Of groups with the same sets one is enough.
         open_groups = stored(
-            placed.groupBy("sign")
+            placed.groupBy("sign", "component")
             .agg(
-                F.min("component").alias("one"),
-                F.max("component").alias("other"),
-                F.count("*").alias("n"),
+                F.count("*").alias("members"),
                 F.bit_xor(F.xxhash64("mark")).alias("some"),
                 F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("more"),
+                F.min(F.struct(F.xxhash64("mark", "sign").alias("h"), "mark", "size", "component")).alias("hub"),
+            )
+            .groupBy("sign")
+            .agg(
+                F.sum("members").alias("members"),
+                (F.sum("members") - F.max("members")).alias("minor"),
+                F.max_by("component", F.struct("members", "component")).alias("major"),
+                F.bit_xor("some").alias("some"),
+                F.bit_xor("more").alias("more"),
+                F.min("hub").alias("hub"),
             )
-            .where("one <> other")
-            .groupBy("n", "some", "more")
-            .agg(F.min("sign").alias("sign"))
-            .select("sign"),
+            .where("minor > 0")
+            .groupBy("members", "some", "more")
+            .agg(F.min_by(F.struct("sign", "major", "minor", "hub"), "sign").alias("group"))
+            .select("group.*")
+            .select("sign", "major", "minor", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("mark", "size", "component")]),
             "jaccard-open",
         )
         if open_groups.isEmpty():
             return labels
-        still = stored(
-            placed.join(open_groups, "sign", "left_semi").withColumn(
-                "place", F.row_number().over(Window.partitionBy("sign").orderBy("mark"))
-            ),
-            "jaccard-still",
-        )
-        sketched = still.join(sets.select("mark", *WORDS), "mark")
-        hubs = sketched.where(F.col("place") <= hubs_at_once).select(
+        if closest_next:
+            # Each set with the closest of one of each of its groups, so that few are left to compare with many.
+            met = placed.join(open_groups, "sign").where((F.col("component") != F.col("hub_component")) & like)
+            of_hubs = sets.select(F.col("mark").alias("hub_mark"), *[F.col(w).alias(f"hub_{w}") for w in WORDS])
+            met = met.select("mark", "size", "hub_mark", "hub_size").distinct().join(sets.select("mark", *WORDS), "mark")
+            best = F.struct(-apart / (F.col("size") + F.col("hub_size")), "hub_mark")
+            pairs = met.join(of_hubs, "hub_mark").where(near).groupBy("mark").agg(F.max_by("hub_mark", best).alias("hub"))
+            pairs = pairs.select(F.least("mark", "hub").alias("low"), F.greatest("mark", "hub").alias("high")).distinct()
+            pairs = stored(pairs.join(tried, ["low", "high"], "left_anti"), "jaccard-pairs")
+            tried, labels, closest_next = tried.union(pairs), extended(pairs), False
+            continue
+        is_hub = (F.col("component") != F.col("major")) & (turn * F.col("minor") < hubs_at_once)
+        still = placed.join(open_groups.select("sign", "major", "minor"), "sign").withColumn("is_hub", is_hub)
+        if WORDS[0] not in left.columns:  # joined once, and kept for later rounds
+            still = still.join(sets.select("mark", *WORDS), "mark")
+        still = stored(still.drop("major", "minor"), "jaccard-still")
+        hubs = still.where("is_hub").select(
             "sign",
             *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", *WORDS)],
         )
+        once = ~F.col("is_hub") | (F.col("mark") > F.col("hub_mark"))
         pairs = stored(
-            sketched.join(hubs, "sign")
-            .where((F.col("mark") > F.col("hub_mark")) & (F.col("component") != F.col("hub_component")) & like & near)
-            .select(F.col("hub_mark").alias("low"), F.col("mark").alias("high"))
+            still.join(hubs, "sign")
+            .where(once & (F.col("component") != F.col("hub_component")) & like & near)
+            .select(F.least("hub_mark", "mark").alias("low"), F.greatest("hub_mark", "mark").alias("high"))
             .distinct()
             .join(tried, ["low", "high"], "left_anti"),
             "jaccard-pairs",
         )
-        tried = tried.union(pairs)
-        links = stored(linked(pairs, sets, least).select("high", "low"), "jaccard-links")
-        if not links.isEmpty():
-            stars = labels.where("node <> component").select(F.col("node").alias("high"), F.col("component").alias("low"))
-            labels = components(stars.union(links))
-        left = still.where(F.col("place") > hubs_at_once).select(*members.columns)
+        tried, labels = tried.union(pairs), extended(pairs)
+        left = still.where("not is_hub").drop("component", "is_hub")
         hubs_at_once *= HUBS
 
 

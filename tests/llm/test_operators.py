@@ -377,6 +377,34 @@ def test_similarity_join(docs, rows, monkeypatch):
     assert Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect()) == want
 
 
+def test_similarity_join_in_rounds(docs, monkeypatch):
+    want = Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect())
+    monkeypatch.setattr(partenum, "HUBS", 2)
+    assert Counter(tuple(r) for r in partenum.jaccard_components(docs, parts=3).collect()) == want
+
+
+def test_signatures_of_all_slots_are_sent_together(spark):
+    """As many rows as parts, and one for the documents, however many sizes of sets there are."""
+    made = [(i, " ".join(f"w{i}x{j}" for j in range(5 + i))) for i in range(0, 300, 3)]
+    made = spark.createDataFrame(made, "doc_id bigint, text string").coalesce(1)
+    sent = partenum.dealt(made, 4, 5, 75, np.zeros(0, dtype=np.uint64)).collect()
+    slots = {s for r in sent for s in np.frombuffer(r["slot"], dtype=np.uint16)}
+    assert len(slots) > 10 and len(sent) == 4 + 1
+
+
+def test_small_links_make_few_files(spark):
+    links = spark.range(1, 200).select(F.col("id").alias("high"), (F.col("id") - F.col("id") % 7).alias("low")).where("high > low")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = partenum.components(links)
+        assert {(r["node"], r["component"]) for r in found.collect()} == {(i, i - i % 7) for i in range(200) if i < 199 or i % 7}
+        assert len(found.inputFiles()) == 1
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_sketches_never_differ_more_than_sets():
     draw = np.random.default_rng(4)
     for size, other in ((0, 3), (5, 5), (40, 60), (700, 900), (5000, 100)):
