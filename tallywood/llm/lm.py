@@ -42,6 +42,9 @@ FINE, CELLS = 8, 400
 ROUNDS = 60
 NO_ID = np.iinfo(np.int64).min
 
+# Packed values, and from how many bytes on.
+CODEC, PLAIN = pa.Codec("zstd", compression_level=1), 200
+
 ROLE_NONE, ROLE_COUNTED, ROLE_HELD = 0, 1, 2
 
 
@@ -50,7 +53,8 @@ class Model:
     """What every task gets: counts of frequent words and pairs, and the weights."""
 
     words: np.ndarray  # sorted hashes of the frequent words
-    counts: np.ndarray  # (2, words): of the counted part, of all training tokens
+    numbers: np.ndarray  # their numbers, from the most frequent word on
+    counts: np.ndarray  # (2, words), by number: of the counted part, of all training tokens
     tokens: np.ndarray  # (2,)
     texts: np.ndarray  # (2,): how often the start of a text is a context
     types: int
@@ -63,7 +67,7 @@ class Model:
         if not len(self.words):
             return np.full(len(hashes), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        return np.where(self.words[at] == hashes, self.numbers[at], -1)
 
     def buckets(self, counts: np.ndarray, part: int) -> np.ndarray:
         """Bucket of contexts with these counts."""
@@ -126,19 +130,29 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """How many bytes of each value are used, the values' lowest bytes, then their second bytes, and so on."""
+    """How many bytes of each value are used, the values' lowest bytes, then their second bytes, and so on.
+
+    More than a few are compressed: numbers rise as words get rarer, so most bytes of a plane are alike.
+    """
     if not len(values):
         return b""
     found = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     used = max(np.flatnonzero(found.any(axis=1)), default=0) + 1
-    return bytes([used]) + found[:used].tobytes()
+    plain = found[:used].tobytes()
+    if len(plain) < PLAIN:
+        return bytes([used]) + plain
+    return bytes([used | 128]) + len(values).to_bytes(4, "little") + CODEC.compress(plain, asbytes=True)
 
 
 def from_planes(cell: pa.Scalar, kind: type) -> np.ndarray:
     found = np.frombuffer(cell.as_buffer(), dtype=np.uint8)
     if not len(found):
         return np.zeros(0, dtype=kind)
-    values = found[1:].reshape(found[0], -1)
+    used, data = int(found[0]) & 127, found[1:]
+    if found[0] & 128:
+        n = int.from_bytes(data[:4].tobytes(), "little")
+        data = np.frombuffer(CODEC.decompress(pa.py_buffer(data[4:]), used * n), dtype=np.uint8)
+    values = data.reshape(used, -1)
     whole = np.zeros((values.shape[1], np.dtype(kind).itemsize), dtype=np.uint8)
     whole[:, : len(values)] = values.T
     return whole.view(kind).ravel()
@@ -266,10 +280,12 @@ def count_words(docs: DataFrame, parts: int) -> Model:
     rows = totals.mapInArrow(frequent((n_counted + n_held) / RARE), shape).select("word", "counted", "held").collect()  # RARE words at most
     word = np.concatenate([np.zeros(0, dtype=U), *[np.frombuffer(r[0], dtype=U) for r in rows]])
     counted, held = (np.concatenate([np.zeros(0, dtype=np.int64), *[np.frombuffer(r[k], dtype=np.int64) for r in rows]]) for k in (1, 2))
-    order = np.argsort(word)
+    order = np.lexsort((word, -(counted + held)))
+    by_hash = np.argsort(word[order])
     texts = dict(trained.groupBy("role").count().collect())
     return Model(
-        word[order],
+        word[order][by_hash],
+        by_hash,
         np.stack([counted, counted + held])[:, order],
         np.array([n_counted, n_counted + n_held]),
         np.array([texts.get(ROLE_COUNTED, 0), sum(texts.values())]),

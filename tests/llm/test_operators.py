@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -405,6 +406,17 @@ def test_small_links_make_few_files(spark):
         spark.conf.set(name, before)
 
 
+def test_packed_numbers_are_compressed():
+    draw = np.random.default_rng(5)
+    for values in (np.minimum(draw.zipf(1.3, 20_000), 60_000).astype(np.uint64), draw.integers(0, 9, 40).astype(np.int64), np.zeros(900, dtype=np.uint32)):
+        packed = lm.planes(values)
+        assert (lm.from_planes(pa.scalar(packed, pa.binary()), values.dtype.type) == values).all()
+        assert len(packed) < 1.3 * len(values) + 2
+    word = np.arange(5, dtype=np.uint64) * 7
+    model = lm.Model(word, np.array([2, 0, 1, 4, 3]), np.zeros((2, 5)), np.zeros(2), np.zeros(2), 5)
+    assert model.number(np.array([7, 8, 28], dtype=np.uint64)).tolist() == [0, -1, 3]
+
+
 def test_sketches_never_differ_more_than_sets():
     draw = np.random.default_rng(4)
     for size, other in ((0, 3), (5, 5), (40, 60), (700, 900), (5000, 100)):
