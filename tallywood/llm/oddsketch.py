@@ -176,7 +176,8 @@ def near_copies(
     is of the whole set, exact but for few collisions where sets are small.
     Sets that agree in a band are candidates.  In a few passes each set is
     compared with one other: of the sets that are first in its bands (by
-    another hash each pass) that which it shares most bands with.  Bands whose
+    another hash each pass) that which it shares most bands with, or from the
+    second pass on the closest by sketches, if any is not ruled out.  Bands whose
     sets lie in one component are done.  In the others all sets outside the
     band's largest component, some 16, then 256, ... at a time in an order given
     by hashes, are compared with all sets of the band in other components: of
@@ -297,21 +298,30 @@ def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int
         if opened.isEmpty():
             return labels
         if passes < PASSES:
-            apart = placed.join(opened, "sign").where((F.col("component") != F.col("hub_component")) & like)
-            pairs = stored(_best_hubs(apart.withColumnRenamed("hub_mark", "hub")).join(tried, ["low", "high"], "left_anti"), "odd-pairs")
+            met = placed.join(opened, "sign").where((F.col("component") != F.col("hub_component")) & like)
+            met = met.groupBy("mark", "size", "hub_mark", "hub_size").agg(F.count("*").alias("n"))
+            of_hubs = sketches.select(*[F.col(c).alias(f"hub_{c}") for c in sketches.columns if c != "size"])
+            closest = met.join(sketches, "mark").join(of_hubs, "hub_mark").where(near).groupBy("mark")
+            best = F.struct(-_apart(FULL) / (F.col("size") + F.col("hub_size")), "n", "hub_mark")
+            pairs = closest.agg(F.max_by("hub_mark", best).alias("hub")).select(
+                F.least("mark", "hub").alias("low"), F.greatest("mark", "hub").alias("high")
+            )
+            pairs = stored(pairs.distinct().join(tried, ["low", "high"], "left_anti"), "odd-pairs")
             tried = stored(tried.union(pairs), "odd-tried")
             labels, passes = extended(labels, pairs), passes + 1
             continue
         open_bands = opened.select("sign", "major", "minor")
         is_hub = (F.col("component") != F.col("major")) & (turn * F.col("minor") < hubs_at_once)
-        still = stored(placed.join(open_bands, "sign").withColumn("is_hub", is_hub), "odd-still")
-        sketched = still.join(sketches, "mark")
-        hubs = sketched.where("is_hub").select(
+        still = placed.join(open_bands, "sign").withColumn("is_hub", is_hub)
+        if WORDS[0] not in left.columns:  # joined once, and kept for later rounds
+            still = still.join(sketches, "mark")
+        still = stored(still.drop("major", "minor"), "odd-still")
+        hubs = still.where("is_hub").select(
             "sign", *[F.col(c).alias(f"hub_{c}") for c in ("mark", "size", "component", *WORDS, *FULL)]
         )
         once = ~F.col("is_hub") | (F.col("mark") > F.col("hub_mark"))
         pairs = stored(
-            sketched.join(hubs, "sign")
+            still.join(hubs, "sign")
             .where(once & (F.col("component") != F.col("hub_component")) & like & near)
             .select(
                 F.col("hub_mark").alias("mark"),
@@ -333,7 +343,7 @@ def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int
         rest = stored(rest.select("low", "high"), "odd-rest")
         labels = extended(labels, rest)
         tried = stored(tried.union(closest).union(rest), "odd-tried")
-        left = still.where("not is_hub").select(*left.columns)
+        left = still.where("not is_hub").drop("component", "is_hub")
         hubs_at_once *= MORE
 
 

@@ -93,6 +93,21 @@ def test_rounds_alone_find_all_links(spark, rows, monkeypatch):
     assert as_rows(near_copies(spark.createDataFrame(rows, SHAPE))) == plain(rows)
 
 
+def test_sketches_are_joined_once(spark, rows, monkeypatch):
+    """What is left for a later round keeps its sketches, and results stay."""
+    kept, real = [], oddsketch.stored
+
+    def spy(frame, label):
+        kept.extend([frame.columns] * (label == "odd-still"))
+        return real(frame, label)
+
+    monkeypatch.setattr(oddsketch, "HUBS", 1)
+    monkeypatch.setattr(oddsketch, "MORE", 6)
+    monkeypatch.setattr(oddsketch, "stored", spy)
+    assert as_rows(near_copies(spark.createDataFrame(rows, SHAPE))) == plain(rows)
+    assert kept and all({*oddsketch.WORDS, *oddsketch.FULL} <= {*columns} for columns in kept)
+
+
 def test_sketches_estimate_similarity_and_keep_links():
     rng = np.random.default_rng(4)
     for alike in (0.8, 0.85, 0.95):
