@@ -101,8 +101,6 @@ def test_sketches_are_joined_once(spark, rows, monkeypatch):
         kept.extend([frame.columns] * (label == "odd-still"))
         return real(frame, label)
 
-    monkeypatch.setattr(oddsketch, "HUBS", 1)
-    monkeypatch.setattr(oddsketch, "MORE", 6)
     monkeypatch.setattr(oddsketch, "stored", spy)
     assert as_rows(near_copies(spark.createDataFrame(rows, SHAPE))) == plain(rows)
     assert kept and all({*oddsketch.WORDS, *oddsketch.FULL} <= {*columns} for columns in kept)
