@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.llm.components import components
-from tallywood.llm.partenum import _blocks, linked
+from tallywood.llm.partenum import _blocks, held, linked
 from tallywood.llm.tables import stored
 from tallywood.llm.words import U, mix
 
@@ -248,7 +248,9 @@ def _component(frame: DataFrame, labels: DataFrame, mark: str, name: str) -> Dat
 
 def _labels(source: DataFrame, sketches: DataFrame, shared: DataFrame, size: int, least: int) -> DataFrame:
     """``node, component`` of all linked sets, see :func:`near_copies`."""
-    sets = full_sets(source, stored(shared.select("mark").distinct(), "odd-used"), size)
+    used = stored(shared.select("mark").distinct(), "odd-used")
+    sets = full_sets(source, used, size)
+    sketches = stored(held(sketches, used, used.count()), "odd-sketches")
     like = F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * least
     near = (_apart(WORDS) <= most_apart(least)) & (
         _apart(FULL) * (100 + least) <= (F.col("size") + F.col("hub_size")) * (100 - least)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywood.llm.components import components
+from tallywood.llm.components import EACH, components
 from tallywood.llm.tables import narrowed, stored
 from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
 
@@ -389,20 +389,32 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
     )
 
 
-def marked_bits(marks: DataFrame) -> np.ndarray:
-    """A table of ``2**MARK_BITS`` bits with those of ``marks`` set; false hits only cost."""
+def bit_words(marks: DataFrame) -> DataFrame:
+    """``word, bits`` of a table of ``2**MARK_BITS`` bits with those of ``marks`` set, 63 to a word; its size never grows."""
     place = F.col("mark") % (1 << MARK_BITS)
-    words = (
-        marks.select(F.floor(place / 63).alias("word"), F.expr(f"shiftleft(1L, cast((mark % {1 << MARK_BITS}) % 63 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()  # bounded by the table
-    )
+    bit = F.expr(f"shiftleft(1L, cast((mark % {1 << MARK_BITS}) % 63 as int))")
+    return marks.select(F.floor(place / 63).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def marked_bits(marks: DataFrame) -> np.ndarray:
+    """:func:`bit_words` as an array; false hits only cost."""
+    words = bit_words(marks).toPandas()  # bounded by the table
     table = np.zeros((1 << MARK_BITS) // 63 + 1, dtype=np.int64)
     table[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
     return table
 
 
+def held(frame: DataFrame, marks: DataFrame, n_marks: int) -> DataFrame:
+    """Rows of ``frame`` whose ``mark`` is one of ``n_marks`` in ``marks``, and few others.
+
+    Every task gets the bounded table of bits, so what a join would not match
+    is not shuffled for it.
+    """
+    words = narrowed(bit_words(marks), n_marks, EACH)
+    found = frame.join(F.broadcast(words), F.floor(F.col("mark") % (1 << MARK_BITS) / 63) == F.col("word"))
+    return found.where(f"shiftright(bits, cast((mark % {1 << MARK_BITS}) % 63 as int)) & 1 = 1").select(*frame.columns)
+
+
 def sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """``SKETCH`` words for each of ``n`` sets: the parity of its shingles at each bit.
 
@@ -461,10 +473,14 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
                 keep[i] = 100 * both >= least * (len(a) + len(b) - both)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    one = sets.select(F.col("mark").alias("low"), F.col("shingles").alias("of_low"))
-    other = sets.select(F.col("mark").alias("high"), F.col("shingles").alias("of_high"))
-    met = pairs.join(other, "high").join(one, "low").select("low", "high", "of_low", "of_high")
-    return narrowed(met, pairs.count(), COMPARED).mapInArrow(compare, "low bigint, high bigint")
+    n_pairs = pairs.count()
+
+    def of(end: str) -> DataFrame:
+        mine = held(sets.select("mark", "shingles"), pairs.select(F.col(end).alias("mark")), n_pairs)
+        return mine.select(F.col("mark").alias(end), F.col("shingles").alias(f"of_{end}"))
+
+    met = pairs.join(of("high"), "high").join(of("low"), "low").select("low", "high", "of_low", "of_high")
+    return narrowed(met, n_pairs, COMPARED).mapInArrow(compare, "low bigint, high bigint")
 
 
 def jaccard_components(

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from tallywood.llm import oddsketch
+from tallywood.llm import oddsketch, partenum
 from tallywood.llm.oddsketch import near_copies, odd_sketches, op12_odd_sketches, samples
 from tallywood.llm.words import mix
 
@@ -136,6 +136,35 @@ def test_full_sketches_never_differ_more_than_the_sets():
         assert sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= len(np.setxor1d(one, other))
 
 
+def test_comparison_sends_only_the_sets_of_its_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    marks = [int(m) for m in rng.integers(0, 2**62, 3000)]
+    packed = [np.sort(rng.integers(0, 2**62, 20).astype(np.uint64)) for _ in marks]
+    packed[1] = np.sort(np.concatenate([packed[0][:19], packed[1][:1]]))  # 19 of 21 shingles shared
+    sets = spark.createDataFrame([(m, bytearray(s.tobytes())) for m, s in zip(marks, packed)], "mark bigint, shingles binary")
+    near, far = sorted(marks[:2]), sorted(marks[2:4])
+    sent, real = [], partenum.held
+
+    def spy(frame, of, n):
+        sent.append({r.mark for r in real(frame, of, n).collect()})
+        return real(frame, of, n)
+
+    monkeypatch.setattr(partenum, "held", spy)
+    pairs = spark.createDataFrame([near, far], "low bigint, high bigint")
+    assert [tuple(r) for r in partenum.linked(pairs, sets, 80).collect()] == [tuple(near)]
+    highs, lows = sent
+    assert {near[1], far[1]} <= highs and {near[0], far[0]} <= lows and len(highs) + len(lows) < 20
+    assert partenum.linked(pairs.limit(0), sets, 80).count() == 0
+
+
+def test_bits_keep_every_wanted_mark(spark):
+    marks = spark.range(0, 2**63 - 1, 2**63 // 5000).withColumnRenamed("id", "mark")
+    wanted = marks.where("mark % 3 = 0")
+    kept = partenum.held(marks, wanted, wanted.count())
+    assert kept.columns == ["mark"] and wanted.exceptAll(kept).isEmpty()
+    assert kept.count() < 1.2 * wanted.count()
+
+
 def test_empty_table(spark):
     assert near_copies(spark.createDataFrame([], SHAPE)).count() == 0
 
