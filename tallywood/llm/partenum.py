@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from tallywood.llm.components import EACH, components
 from tallywood.llm.tables import narrowed, stored
-from tallywood.llm.words import U, Slice, mix, slices, windows, words_of
+from tallywood.llm.words import U, Slice, give_back, lean, mix, slices, windows, words_of
 
 SIZE, LEAST = 5, 75  # words of a shingle; similarity in percent
 FAMILIES, BLOCK_SHINGLES, SPARE = 6, 300_000, 0.08
 #: Bytes of text whose signatures meet in one task at most, in the mean, and signatures that a task deals out at once.
 PIECE_BYTES, DEALT = 8 << 20, 1_000_000
+#: Bytes of text that a task works on at once, and signatures in one Arrow batch. Both only bound memory.
+TEXT_BYTES, BATCH = 1 << 18, 200_000
 MARK_BITS = 25
 SKETCH_BITS = 10
 SKETCH = (1 << SKETCH_BITS) // 64
@@ -241,7 +243,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.A
     """Blocks of rows: ids, shingle rows and hashes, set sizes and marks."""
     for batch in batches:
         held, ids, total, n = [], [], 0, 0
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(1), TEXT_BYTES):
             rows, hashes = shingle_sets(part, size)
             held.append((rows + n, hashes, *set_marks(rows, hashes, len(part))))
             ids.append(batch.column(0).slice(part.first, len(part)))
@@ -271,7 +273,7 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
     share = min(1.0, SAMPLE / max(1, n_docs))
     found = (
         docs.sample(share, seed=1)
-        .mapInArrow(count, "shingle bigint, n bigint")
+        .mapInArrow(lean(count), "shingle bigint, n bigint")
         .groupBy("shingle")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= COMMON)
@@ -290,18 +292,29 @@ def dealt(docs: DataFrame, parts: int, size: int, least: int, common: np.ndarray
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        held: list[list[np.ndarray]] = []
+        held: tuple[list[np.ndarray], ...] = [], [], [], []
         pending = 0
 
-        def out() -> pa.RecordBatch:
-            slot, signs, mark, count = (np.concatenate(h) for h in zip(*held))
-            held.clear()
-            order = np.argsort(slot, kind="stable")
-            part = ((signs >> U(32)) % U(parts)).astype(np.uint16 if parts < 65_536 else np.int64)
-            order = order[np.argsort(part[order], kind="stable")]
-            part, arrays = part[order].astype(np.int64), [a[order] for a in (slot, signs, mark, count)]
-            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-            return _sent([(int(part[a]), *[x[a:b].tobytes() for x in arrays], b"") for a, b in zip(cuts, cuts[1:])])
+        def out() -> Iterator[pa.RecordBatch]:
+            """All that is held, by part and slot; a few parts at a time are copied for it."""
+            columns = []
+            for pieces in held:
+                columns.append(np.concatenate(pieces))
+                pieces.clear()
+            part = ((columns[1] >> U(32)) % U(parts)).astype(np.uint16 if parts < 65_536 else np.int64)
+            order = np.lexsort((columns[0], part))
+            ends = np.cumsum(np.bincount(part, minlength=parts))
+            del part
+            rows, n, first = [], 0, 0
+            for number, end in enumerate(ends):
+                if end > first:
+                    rows.append((number, *[c[order[first:end]].tobytes() for c in columns], b""))
+                    n, first = n + end - first, end
+                if n > BATCH:
+                    yield _sent(rows)
+                    rows, n = [], 0
+            if rows:
+                yield _sent(rows)
 
         for number, (ids, rows, hashes, sizes, marks) in enumerate(_blocks(batches, size)):
             texts = (marks.tobytes(), sizes.astype(np.int32).tobytes(), _as_numbers(ids).tobytes())
@@ -310,15 +323,17 @@ def dealt(docs: DataFrame, parts: int, size: int, least: int, common: np.ndarray
             first[np.unique(marks, return_index=True)[1]] = True
             keep = first[rows]
             for slot, at, signs in set_signatures(rows[keep], hashes[keep], np.where(first, sizes, 0), least, common):
-                held.append([np.full(len(signs), slot, dtype=np.uint16), signs, marks[at], sizes[at].astype(np.int32)])
+                for pieces, found in zip(held, (np.full(len(signs), slot, dtype=np.uint16), signs, marks[at], sizes[at].astype(np.int32))):
+                    pieces.append(found)
                 pending += len(signs)
             if pending > DEALT:
-                yield out()
+                yield from out()
                 pending = 0
+                give_back()
         if pending:
-            yield out()
+            yield from out()
 
-    return docs.mapInArrow(send, SENT)
+    return docs.mapInArrow(lean(send), SENT)
 
 
 def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
@@ -384,7 +399,7 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
                 )
 
     return stored(
-        dealt(docs, parts, size, least, common).repartitionById(parts, F.col("part")).mapInArrow(group, MET),
+        dealt(docs, parts, size, least, common).repartitionById(parts, F.col("part")).mapInArrow(lean(group), MET),
         "jaccard-met",
     )
 
@@ -455,7 +470,7 @@ def sets_of(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
 
     # A set comes at most once from each task; any of its copies will do.
     schema = ", ".join(["mark bigint, shingles binary", *[f"{w} bigint" for w in WORDS]])
-    found = docs.mapInArrow(pick, schema).join(marks, "mark", "left_semi")
+    found = docs.mapInArrow(lean(pick), schema).join(marks, "mark", "left_semi")
     return stored(found.dropDuplicates(["mark"]), "jaccard-sets")
 
 
@@ -480,7 +495,7 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
         return mine.select(F.col("mark").alias(end), F.col("shingles").alias(f"of_{end}"))
 
     met = pairs.join(of("high"), "high").join(of("low"), "low").select("low", "high", "of_low", "of_high")
-    return narrowed(met, n_pairs, COMPARED).mapInArrow(compare, "low bigint, high bigint")
+    return narrowed(met, n_pairs, COMPARED).mapInArrow(lean(compare), "low bigint, high bigint")
 
 
 def jaccard_components(
