@@ -278,9 +278,9 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= COMMON)
         .select("shingle")
-        .toPandas()  # of the sample's shingles, a fifth at most
+        .toArrow()  # of the sample's shingles, a fifth at most; 8 bytes each, where a Row takes some 500
     )
-    return np.sort(found["shingle"].to_numpy(dtype=np.int64).view(U))
+    return np.sort(found["shingle"].to_numpy().view(U))
 
 
 def dealt(docs: DataFrame, parts: int, size: int, least: int, common: np.ndarray) -> DataFrame:
@@ -413,9 +413,9 @@ def bit_words(marks: DataFrame) -> DataFrame:
 
 def marked_bits(marks: DataFrame) -> np.ndarray:
     """:func:`bit_words` as an array; false hits only cost."""
-    words = bit_words(marks).toPandas()  # bounded by the table
+    words = bit_words(marks).toArrow()  # bounded by the table: 9 MB, where Rows take some 500 bytes a word
     table = np.zeros((1 << MARK_BITS) // 63 + 1, dtype=np.int64)
-    table[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
     return table
 
 
