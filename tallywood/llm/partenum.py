@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywood.llm.components import EACH, components
+from tallywood.llm.rows import BITS, is_set
 from tallywood.llm.tables import narrowed, stored
 from tallywood.llm.words import U, Slice, give_back, lean, mix, slices, windows, words_of
 
@@ -404,18 +405,18 @@ def meet(docs: DataFrame, parts: int, size: int, least: int) -> DataFrame:
     )
 
 
-def bit_words(marks: DataFrame) -> DataFrame:
-    """``word, bits`` of a table of ``2**MARK_BITS`` bits with those of ``marks`` set, 63 to a word; its size never grows."""
+def mark_bits(marks: DataFrame) -> DataFrame:
+    """``chunk, bits`` of a table of ``2**MARK_BITS`` bits with those of ``marks`` set: 1,024 bitmaps of 4 KB at most."""
     place = F.col("mark") % (1 << MARK_BITS)
-    bit = F.expr(f"shiftleft(1L, cast((mark % {1 << MARK_BITS}) % 63 as int))")
-    return marks.select(F.floor(place / 63).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    placed = marks.select(F.floor(place / BITS).alias("chunk"), (place % BITS).alias("bit"))
+    return placed.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def marked_bits(marks: DataFrame) -> np.ndarray:
-    """:func:`bit_words` as an array; false hits only cost."""
-    words = bit_words(marks).toArrow()  # bounded by the table: 9 MB, where Rows take some 500 bytes a word
-    table = np.zeros((1 << MARK_BITS) // 63 + 1, dtype=np.int64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    """:func:`mark_bits` as an array of bytes; false hits only cost."""
+    table = np.zeros((1 << MARK_BITS) // 8, dtype=np.uint8)
+    for chunk, bits in mark_bits(marks).collect():  # bounded by the table, 4 MB
+        table[chunk * BITS // 8 :][: len(bits)] = np.frombuffer(bits, dtype=np.uint8)
     return table
 
 
@@ -425,9 +426,10 @@ def held(frame: DataFrame, marks: DataFrame, n_marks: int) -> DataFrame:
     Every task gets the bounded table of bits, so what a join would not match
     is not shuffled for it.
     """
-    words = narrowed(bit_words(marks), n_marks, EACH)
-    found = frame.join(F.broadcast(words), F.floor(F.col("mark") % (1 << MARK_BITS) / 63) == F.col("word"))
-    return found.where(f"shiftright(bits, cast((mark % {1 << MARK_BITS}) % 63 as int)) & 1 = 1").select(*frame.columns)
+    table = narrowed(mark_bits(narrowed(marks, n_marks, EACH)), n_marks, EACH)
+    place = F.col("mark") % (1 << MARK_BITS)
+    found = frame.withColumn("place", place).join(F.broadcast(table), F.floor(F.col("place") / BITS) == F.col("chunk"))
+    return found.where(is_set("bits", "place")).select(*frame.columns)
 
 
 def sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
@@ -450,7 +452,7 @@ def sets_of(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
         seen: set[int] = set()
         for _, rows, hashes, sizes, own in _blocks(batches, size):
             place = own % (1 << MARK_BITS)
-            wanted = ((bits[place // 63] >> (place % 63)) & 1).astype(bool) & (sizes > 0)
+            wanted = ((bits[place >> 3] >> (place & 7)) & 1).astype(bool) & (sizes > 0)
             ends = np.cumsum(sizes)
             chosen = []
             for i in np.flatnonzero(wanted):

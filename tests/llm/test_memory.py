@@ -1,5 +1,7 @@
 """What Python workers hold: bounded batches out, and freed memory given back after a task."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -76,3 +78,36 @@ def test_powers_grow_on_demand(monkeypatch):
     up, down = words.powers(200_000)
     assert len(up) >= 200_000 and (up[: len(few)] == few).all()
     assert ((up[:200_000] * down[:200_000]) == 1).all()
+
+
+def test_driver_gets_packed_numbers(spark):
+    """The bit table and the common shingles reach the driver without an object for each of their numbers."""
+    n = 100_000
+    marks = spark.range(n).selectExpr("shiftrightunsigned(xxhash64(id), 1) as mark").union(spark.sql("select 0L as mark"))
+    places = marks.toArrow()["mark"].to_numpy() % (1 << partenum.MARK_BITS)
+    common = spark.range(5 * n).selectExpr("id as doc_id", f"concat('a b c d e', id % {n}) as text")
+    tracemalloc.start()
+    try:
+        table = partenum.marked_bits(marks)
+        most_of_table = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        shingles = partenum.common_shingles(common, 5, 1)
+        most_of_shingles = tracemalloc.get_traced_memory()[1] - table.nbytes
+    finally:
+        tracemalloc.stop()
+    assert max(most_of_table, most_of_shingles) < 16 << 20
+    assert table.nbytes == (1 << partenum.MARK_BITS) // 8
+    assert (np.flatnonzero(np.unpackbits(table, bitorder="little")) == np.unique(places)).all()
+    assert len(shingles) == n and (np.diff(shingles.astype(object)) > 0).all()
+
+
+def test_held_rows(spark):
+    """Marks are told apart by their last 25 bits; the broadcast table has 4 KB for each 32,768 of them."""
+    frame = spark.range(0, 3_000).selectExpr("id * 25013 as mark", "id as x")
+    marks = frame.where("x % 3 = 0").select("mark")
+    found = partenum.held(frame, marks.union(marks), 2_000)
+    places = {m % (1 << partenum.MARK_BITS) for m in range(0, 3_000 * 25_013, 3 * 25_013)}
+    assert sorted(r["x"] for r in found.collect()) == [x for x in range(3_000) if x * 25_013 % (1 << partenum.MARK_BITS) in places]
+    assert found.columns == ["mark", "x"]
+    assert partenum.held(frame, marks.where("mark < 0"), 0).count() == 0
+    assert partenum.mark_bits(frame).selectExpr("max(octet_length(bits))", "count(*) <= 1024").first()[:] == (4096, True)
